@@ -7,14 +7,8 @@ from meterspan.functions.scalars import first_reason, is_finite, to_number
 
 
 def parse_vector(text):
-    """Finite numbers of a pasted list, in order; anything else is skipped.
-
-    An empty token counts as 0, as a blank converted to a number does."""
-    tokens = F.split(text, r"[\s,;]+")
-    numbers = F.transform(
-        tokens, lambda t: F.when(t == "", F.lit(0.0)).otherwise(to_number(t))
-    )
-    return F.filter(numbers, is_finite)
+    """Finite numbers of a pasted list, in order; anything else is skipped."""
+    return F.filter(F.transform(F.split(text, r"[\s,;]+"), to_number), is_finite)
 
 
 def vector_reason(values, size=fixed.CONTEXT_DAYS):

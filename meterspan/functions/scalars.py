@@ -12,7 +12,10 @@ NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def to_number(text):
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    """Number of a text field; blank counts as 0, other text as missing."""
+    return F.when(F.trim(text) == "", F.lit(0.0)).when(
+        text.rlike(NUMBER_TEXT), text.try_cast("double")
+    )
 
 
 def is_finite(x):
@@ -42,9 +45,8 @@ def clamp_day(x):
     return F.when(is_finite(x) & (x >= 0), F.least(F.lit(200.0), x))
 
 
-def number_or(text, fallback, low=None, high=None):
+def number_or(x, fallback, low=None, high=None):
     """A finite number inside the bounds, else the fallback."""
-    x = to_number(text)
     ok = is_finite(x)
     if low is not None:
         ok = ok & (x >= low)
@@ -59,10 +61,6 @@ def text_or(text, fallback, max_length=500):
     return F.when(F.length(trimmed) > 0, F.substring(trimmed, 1, max_length)).otherwise(fallback)
 
 
-def flag_or(text, fallback):
-    return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False)).otherwise(fallback)
-
-
 def co2_kg(kwh, factor=None):
     """Emissions at the given factor; the default stands in for a missing one."""
     default = F.lit(fixed.CO2_KG_PER_KWH)

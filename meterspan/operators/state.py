@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from meterspan import fixed
 from meterspan.functions.arrays import keep_in_range
-from meterspan.functions.scalars import flag_or, number_or, text_or, to_number
+from meterspan.functions.documents import number_value, with_fields
+from meterspan.functions.scalars import number_or, text_or
 
 KEYS = ("household_id",)
 
@@ -12,41 +13,34 @@ KEYS = ("household_id",)
 def repair_settings(stored, column="settings_json", keys=KEYS):
     """Known settings out of a JSON text: each keeps its value when it has the
     right type and takes its default otherwise. Unknown keys are dropped."""
-    names = [*fixed.SETTINGS_TEXTS, *fixed.SETTINGS_NUMBERS]
-    flags = list(fixed.SETTINGS_NOTIFICATIONS)
-    layout = ", ".join(
-        [f"{n}: string" for n in names]
-        + ["notifications: struct<" + ", ".join(f"{n}: string" for n in flags) + ">"]
+    flags = fixed.SETTINGS_NOTIFICATIONS
+    fields = with_fields(
+        stored.withColumn("_document", F.try_parse_json(column)),
+        "_document",
+        list(fixed.SETTINGS_TEXTS),
+        list(fixed.SETTINGS_NUMBERS),
+        [f"notifications.{n}" for n in flags],
     )
-    parsed = stored.withColumn("_s", F.from_json(column, f"struct<{layout}>"))
-
-    def field(name):
-        return F.col(f"_s.{name}")
-
-    return parsed.select(
+    return fields.select(
         *keys,
-        *[text_or(field(n), F.lit(d)).alias(n) for n, d in fixed.SETTINGS_TEXTS.items()],
-        *[number_or(field(n), F.lit(d)).alias(n) for n, d in fixed.SETTINGS_NUMBERS.items()],
-        F.struct(
-            *[
-                flag_or(field(f"notifications.{n}"), F.lit(d)).alias(n)
-                for n, d in fixed.SETTINGS_NOTIFICATIONS.items()
-            ]
-        ).alias("notifications"),
+        *[text_or(F.col(n), F.lit(d)).alias(n) for n, d in fixed.SETTINGS_TEXTS.items()],
+        *[number_or(F.col(n), F.lit(d)).alias(n) for n, d in fixed.SETTINGS_NUMBERS.items()],
+        F.struct(*[F.coalesce(n, F.lit(d)).alias(n) for n, d in flags.items()]).alias("notifications"),
     )
 
 
 def repair_predictor(stored, column="predictor_json", keys=KEYS):
     """Predictor form state: valid daily values only, texts with their defaults."""
-    layout = "struct<consumption: array<string>, targetDate: string, preset: string>"
-    parsed = stored.withColumn("_p", F.from_json(column, layout))
-    numbers = F.transform("_p.consumption", to_number)
+    parsed = stored.withColumn("_document", F.try_parse_json(column)).withColumn(
+        "_entries", F.try_variant_get("_document", "$.consumption", "array<variant>")
+    )
+    numbers = keep_in_range(F.transform("_entries", number_value))
     none = F.array().cast("array<double>")
-    return parsed.select(
+    return with_fields(parsed, "_document", ["targetDate", "preset"]).select(
         *keys,
-        F.coalesce(keep_in_range(numbers), none).alias("consumption"),
-        text_or(F.col("_p.targetDate"), F.lit("")).alias("target_date"),
-        text_or(F.col("_p.preset"), F.lit("benchmark")).alias("preset"),
+        F.coalesce(numbers, none).alias("consumption"),
+        text_or(F.col("targetDate"), F.lit("")).alias("target_date"),
+        text_or(F.col("preset"), F.lit("benchmark")).alias("preset"),
     )
 
 

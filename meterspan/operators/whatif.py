@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterspan import fixed, schemas
 from meterspan.functions.arrays import literal_rows
+from meterspan.functions.documents import with_fields
 from meterspan.functions.scalars import co2_kg, number_or, text_or, to_number, is_finite
 
 KEYS = ("household_id",)
@@ -147,24 +148,27 @@ def _first_of_id(rows, keys):
 
 
 def repair_appliances(items, households=None, keys=KEYS):
-    """Usable appliance rows out of stored objects (all fields text, with their
-    ``position``). Rows without a plausible wattage go, the first row of an id
-    stays, other fields fall back to their defaults.
+    """Usable appliance rows out of stored objects (``position`` and ``item``).
+    Rows without a plausible wattage go, the first row of an id stays, other
+    fields fall back to their defaults.
 
     With ``households``, one that is left without rows receives the default list."""
-    watts = number_or(F.col("powerWatts"), None, 0.01, 100_000)
-    fallback_id = F.concat(F.lit("a-restored-"), F.col("position").cast("string"))
-    repaired = items.select(
+    restored = F.concat(F.lit("a-restored-"), F.col("position").cast("string"))
+    bounds = {
+        "powerWatts": (F.lit(None), 0.01, 100_000),
+        "quantity": (F.lit(1.0), 1, 1000),
+        "currentDailyHours": (F.lit(0.0), 0, 24),
+        "proposedDailyHours": (F.lit(0.0), 0, 24),
+        "daysPerMonth": (F.lit(30.0), 1, 31),
+    }
+    fields = with_fields(items, "item", ["id", "name", "type"], list(bounds))
+    repaired = fields.select(
         *keys,
         "position",
-        text_or(F.col("id"), fallback_id, 64).alias("id"),
+        text_or(F.col("id"), restored, 64).alias("id"),
         text_or(F.col("name"), F.lit("Unnamed device"), 80).alias("name"),
         text_or(F.col("type"), F.lit("generic"), 40).alias("type"),
-        watts.alias("powerWatts"),
-        number_or(F.col("quantity"), F.lit(1.0), 1, 1000).alias("quantity"),
-        number_or(F.col("currentDailyHours"), F.lit(0.0), 0, 24).alias("currentDailyHours"),
-        number_or(F.col("proposedDailyHours"), F.lit(0.0), 0, 24).alias("proposedDailyHours"),
-        number_or(F.col("daysPerMonth"), F.lit(30.0), 1, 31).alias("daysPerMonth"),
+        *[number_or(F.col(n), *rule).alias(n) for n, rule in bounds.items()],
     ).filter("powerWatts is not null")
     kept = _first_of_id(repaired, list(keys))
     if households is None:
@@ -181,24 +185,23 @@ def repair_appliances(items, households=None, keys=KEYS):
 
 def repair_scenarios(items, keys=KEYS):
     """Saved scenarios with a valid current energy, the first of an id kept."""
-    current = number_or(F.col("currentKwh"), None, 0, 1e7)
-    fallback_id = F.concat(F.lit("s-restored-"), F.col("position").cast("string"))
-
-    def money(name):
-        return number_or(F.col(name), F.lit(0.0), 0, 1e9).alias(name)
-
-    repaired = items.select(
+    restored = F.concat(F.lit("s-restored-"), F.col("position").cast("string"))
+    bounds = {
+        "currentKwh": (F.lit(None), 0, 1e7),
+        "proposedKwh": (F.col("currentKwh"), 0, 1e7),
+        "currentCost": (F.lit(0.0), 0, 1e9),
+        "proposedCost": (F.lit(0.0), 0, 1e9),
+        "savedCost": (F.lit(0.0), 0, 1e9),
+        "reductionPct": (F.lit(0.0), 0, 100),
+    }
+    fields = with_fields(items, "item", ["id", "name", "createdAt"], list(bounds))
+    repaired = fields.select(
         *keys,
         "position",
-        text_or(F.col("id"), fallback_id, 64).alias("id"),
+        text_or(F.col("id"), restored, 64).alias("id"),
         text_or(F.col("name"), F.lit("Untitled scenario"), 80).alias("name"),
         text_or(F.col("createdAt"), F.lit("1970-01-01T00:00:00.000Z")).alias("createdAt"),
-        current.alias("currentKwh"),
-        number_or(F.col("proposedKwh"), current, 0, 1e7).alias("proposedKwh"),
-        money("currentCost"),
-        money("proposedCost"),
-        money("savedCost"),
-        number_or(F.col("reductionPct"), F.lit(0.0), 0, 100).alias("reductionPct"),
+        *[number_or(F.col(n), *rule).alias(n) for n, rule in bounds.items()],
     ).filter("currentKwh is not null")
     return _first_of_id(repaired, list(keys))
 

@@ -39,21 +39,6 @@ APPLIANCE = _table(
     ("proposedDailyHours", _D),
     ("daysPerMonth", _D),
 )
-# Stored JSON is read with every field as text first, so that a wrongly typed
-# field can be repaired rather than turn the whole record into null.
-APPLIANCE_JSON = T.ArrayType(_table(*[(f.name, _S) for f in APPLIANCE]))
-SCENARIO_FIELDS = [
-    "id",
-    "name",
-    "createdAt",
-    "currentKwh",
-    "proposedKwh",
-    "currentCost",
-    "proposedCost",
-    "savedCost",
-    "reductionPct",
-]
-SCENARIO_JSON = T.ArrayType(_table(*[(name, _S) for name in SCENARIO_FIELDS]))
 RECOMMENDATION = _table(
     ("rec_id", _S),
     ("category", _S),

@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meterspan import fixed, schemas
+from meterspan.functions.documents import is_object, items
 from meterspan.functions.scalars import is_whole_number_text
 
 
@@ -97,13 +98,11 @@ def forgiving_csv(spark, path, columns):
     return frame.filter(~blank)
 
 
-def json_rows(df, column, array_schema, keep):
-    """One row per object of a JSON array column, with its position.
+def json_rows(df, column, keep):
+    """One row per object of a JSON array column: its position and ``item``.
 
-    Text that is no JSON array gives no rows; neither does a null entry."""
-    parsed = F.from_json(F.col(column), array_schema)
-    return (
-        df.select(*keep, F.posexplode(parsed).alias("position", "_item"))
-        .filter(F.col("_item").isNotNull())
-        .select(*keep, "position", "_item.*")
+    Text that is no JSON array gives no rows; neither do entries that are no
+    objects."""
+    return df.select(*keep, F.posexplode(items(F.col(column))).alias("position", "item")).filter(
+        is_object(F.col("item"))
     )

@@ -159,20 +159,49 @@ def stored_appliances(spark, folder):
 
 
 def stored_scenarios(spark, folder):
-    """Saved plans as stored objects with text fields, derived from orders."""
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    """Saved plans as JSON objects, one row per plan with its place in the list;
+    some lack an id or a name or hold text and numbers out of range."""
+    key = F.col("o_orderkey")
+
+    document = F.to_json(
+        F.struct(
+            F.when(key % 9 != 0, F.concat(F.lit("s"), (key % 3000).cast("string"))).alias("id"),
+            F.when(key % 4 != 0, F.concat(F.lit(" Plan "), "o_orderpriority", F.lit(" "))).alias("name"),
+            F.when(key % 11 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("createdAt"),
+            F.when(key % 13 == 0, F.lit("n/a")).otherwise((key % 500).cast("string")).alias("currentKwh"),
+            F.when(key % 3 == 0, F.lit(-1)).otherwise(key % 400).alias("proposedKwh"),
+            F.col("o_totalprice").alias("currentCost"),
+            (key % 1000).alias("savedCost"),
+            (key % 150).alias("reductionPct"),
+        )
+    )
     return table(spark, folder, "orders").select(
         F.col("o_custkey").alias("household_id"),
         key.alias("position"),
-        F.when(key % 9 != 0, F.concat(F.lit("s"), (key % 3000).cast("string"))).alias("id"),
-        F.when(key % 4 != 0, F.concat(F.lit(" Plan "), F.col("o_orderpriority"), F.lit(" "))).alias("name"),
-        F.when(key % 11 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("createdAt"),
-        F.when(key % 13 == 0, F.lit("n/a")).otherwise((key % 500).cast("string")).alias("currentKwh"),
-        F.when(key % 3 == 0, F.lit("-1")).otherwise((key % 400).cast("string")).alias("proposedKwh"),
-        price.cast("decimal(15,2)").cast("string").alias("currentCost"),
-        F.lit(None).cast("string").alias("proposedCost"),
-        (key % 1000).cast("string").alias("savedCost"),
-        (key % 150).cast("string").alias("reductionPct"),
+        F.try_parse_json(document).alias("item"),
+    )
+
+
+def stored_settings(spark, folder):
+    """Settings documents derived from customers, with wrong types and gaps."""
+    key = F.col("c_custkey")
+    text = F.concat(
+        F.lit('{"old": 1, "userName": '),
+        F.when(key % 5 == 0, F.lit("17")).otherwise(F.concat(F.lit('" '), "c_name", F.lit('"'))),
+        F.lit(', "electricityTariff": '),
+        F.when(key % 7 == 0, F.lit('"high"'))
+        .when(key % 7 == 1, F.lit("null"))
+        .when(key % 7 == 2, F.concat(F.lit('"'), (key % 40).cast("string"), F.lit('"')))
+        .otherwise((key % 30).cast("string")),
+        F.lit(', "fixedCharges": '),
+        F.when(key % 3 == 0, F.lit("true")).otherwise((key % 90).cast("string")),
+        F.lit(', "notifications": {"weekly": '),
+        F.when(key % 2 == 0, F.lit("false")).otherwise(F.lit('"no"')),
+        F.lit("}}"),
+    )
+    broken = F.when(key % 17 == 0, F.lit("{")).otherwise(text)
+    return table(spark, folder, "customer").select(
+        key.alias("household_id"), broken.alias("settings_json")
     )
 
 
