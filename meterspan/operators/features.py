@@ -40,28 +40,42 @@ def add_ewm_state(daily, spans=fixed.EWM_SPANS, value="energy_kwh", keys=("house
 
     With decay c the sum is kept by running totals of x * c**-i inside blocks of
     B records plus the closing total of the block before. B is the length after
-    which a weight has fallen to 1e-21, so older blocks are below double
-    precision and nothing overflows. Cost is linear in the series length.
+    which the slowest weight has fallen to 1e-21, so older blocks are below double
+    precision. Cost is linear in the series length, and all spans share the sorts.
     """
+    decays = {s: 1.0 - 2.0 / (s + 1.0) for s in spans}
+    size = math.ceil(math.log(1e-21) / math.log(max(decays.values())))
+    if min(decays.values()) ** size < 1e-250:
+        raise ValueError(f"spans {list(spans)} are too far apart for one block length")
     window = series_window(keys, time)
     so_far = window.rowsBetween(Window.unboundedPreceding, -1)
-    out = daily.withColumn("_position", F.row_number().over(window) - 1)
-    for span in spans:
-        c = 1.0 - 2.0 / (span + 1.0)
-        size = math.ceil(math.log(1e-21) / math.log(c))
-        rest = F.col("_position") % size
-        block = Window.partitionBy(*keys, "_block").orderBy(time)
-        running = block.rowsBetween(Window.unboundedPreceding, 0)
-        power = F.pow(F.lit(c), rest)
-        closing = F.last(F.when(rest == size - 1, F.col("_local")), ignorenulls=True).over(so_far)
-        out = (
-            out.withColumn("_block", F.floor(F.col("_position") / size))
-            .withColumn("_local", F.sum(F.col(value) / power).over(running) * power)
-            .withColumn(f"_num_{span}", F.col("_local") + F.coalesce(closing, F.lit(0.0)) * power * c)
-            .withColumn(f"_den_{span}", (1.0 - F.pow(F.lit(c), F.col("_position") + 1)) / (1.0 - c))
-            .drop("_block", "_local")
+    in_block = (
+        Window.partitionBy(*keys, "_block")
+        .orderBy(time)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    rest = F.col("_position") % size
+    power = {s: F.pow(F.lit(c), rest) for s, c in decays.items()}
+
+    def closing(s):
+        last = F.when(rest == size - 1, F.col(f"_local_{s}"))
+        return F.coalesce(F.last(last, ignorenulls=True).over(so_far), F.lit(0.0))
+
+    return (
+        daily.withColumn("_position", F.row_number().over(window) - 1)
+        .withColumn("_block", F.floor(F.col("_position") / size))
+        .withColumns({f"_local_{s}": F.sum(F.col(value) / power[s]).over(in_block) * power[s] for s in spans})
+        .withColumns(
+            {f"_num_{s}": F.col(f"_local_{s}") + closing(s) * power[s] * c for s, c in decays.items()}
         )
-    return out
+        .withColumns(
+            {
+                f"_den_{s}": (1.0 - F.pow(F.lit(c), F.col("_position") + 1)) / (1.0 - c)
+                for s, c in decays.items()
+            }
+        )
+        .drop("_block", *[f"_local_{s}" for s in spans])
+    )
 
 
 def ewm_columns(window, spans=fixed.EWM_SPANS):

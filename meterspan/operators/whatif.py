@@ -136,14 +136,17 @@ def costliest(rows, n=8, keys=KEYS):
 # --- repair of stored lists -------------------------------------------------
 
 
-def _first_of_id(rows, keys):
-    """The first row per id by position. A grouped minimum, not a sort."""
-    fields = [c for c in rows.columns if c not in keys]
-    order = ["position", *[c for c in fields if c != "position"]]
+def _first_of_id(rows, keys, needed):
+    """The first usable row per id by position; ``needed`` marks a usable row.
+
+    The ranked filter is applied per group before the shuffle. Unusable rows are
+    ranked last and dropped afterwards: a filter up front would be pushed below
+    the parsing and parse every document once more."""
+    order = Window.partitionBy(*keys, "id").orderBy(F.col(needed).isNull(), "position")
     return (
-        rows.groupBy(*keys, F.col("id").alias("_id"))
-        .agg(F.min_by(F.struct(*order), "position").alias("_r"))
-        .select(*keys, "_r.*")
+        rows.withColumn("_rank", F.row_number().over(order))
+        .filter((F.col("_rank") == 1) & F.col(needed).isNotNull())
+        .drop("_rank")
     )
 
 
@@ -169,8 +172,8 @@ def repair_appliances(items, households=None, keys=KEYS):
         text_or(F.col("name"), F.lit("Unnamed device"), 80).alias("name"),
         text_or(F.col("type"), F.lit("generic"), 40).alias("type"),
         *[number_or(F.col(n), *rule).alias(n) for n, rule in bounds.items()],
-    ).filter("powerWatts is not null")
-    kept = _first_of_id(repaired, list(keys))
+    )
+    kept = _first_of_id(repaired, keys, "powerWatts")
     if households is None:
         return kept
     listed = literal_rows(schemas.APPLIANCE, fixed.DEFAULT_APPLIANCES)
@@ -202,8 +205,8 @@ def repair_scenarios(items, keys=KEYS):
         text_or(F.col("name"), F.lit("Untitled scenario"), 80).alias("name"),
         text_or(F.col("createdAt"), F.lit("1970-01-01T00:00:00.000Z")).alias("createdAt"),
         *[number_or(F.col(n), *rule).alias(n) for n, rule in bounds.items()],
-    ).filter("currentKwh is not null")
-    return _first_of_id(repaired, list(keys))
+    )
+    return _first_of_id(repaired, keys, "currentKwh")
 
 
 def draft_errors(drafts):

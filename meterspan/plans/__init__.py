@@ -4,7 +4,7 @@ from importlib import import_module
 
 from meterspan.plans import registry
 
-MODULES = ["energy", "series", "statistics", "vectors", "incidents", "bills", "scenarios"]
+MODULES = ["energy", "series", "statistics", "vectors", "incidents", "bills", "scenarios", "models", "streams"]
 
 
 def load():

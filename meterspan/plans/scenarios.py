@@ -93,7 +93,7 @@ def single_savings(spark, folder):
     f"""WITH {t.SIMULATED}, top AS (
   SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY current_kwh DESC, id) AS rank FROM simulated
   WHERE current_kwh > 0
-), shown AS (SELECT *, round(current_kwh, 1) AS v FROM top WHERE rank <= 6)
+), shown AS (SELECT *, CAST(round(CAST(CAST(current_kwh AS VARCHAR) AS DECIMAL(36,16)), 1) AS DOUBLE) AS v FROM top WHERE rank <= 6)
 SELECT household_id, {small('rank')}, id, name, {r('v AS value', 'v / sum(v) OVER (PARTITION BY household_id) AS share')}
 FROM shown""",
 )

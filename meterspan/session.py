@@ -1,6 +1,7 @@
 """Session settings shared by jobs and tests."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,3 +34,9 @@ def ensure_checkpoint_dir(spark):
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="meterspan-checkpoint-"))
+
+
+def scratch_folder(spark, name):
+    """A fresh folder that every executor can reach, below the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -28,7 +28,11 @@ def _reading_columns():
 
 def readings(spark, folder):
     """Typed readings of three households."""
-    return table(spark, folder, "events").select(
+    return readings_of(table(spark, folder, "events"))
+
+
+def readings_of(events):
+    return events.select(
         (F.col("user_id") % 3).alias("household_id"),
         F.col("event_id").alias("reading_id"),
         F.col("ts").alias("timestamp"),
