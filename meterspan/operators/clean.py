@@ -1,5 +1,7 @@
 """Typing, filtering and gap filling of readings."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -67,116 +69,93 @@ def interpolate_gaps(
     block="hour",
 ):
     """Linear-in-time fill between known neighbours, at most ``limit`` records
-    from either side; runs at the ends take the nearest value.
+    from either side; runs at the ends take the nearest value. Readings without
+    a time are left out.
 
     A household may hold any share of the readings, so no window spans a whole
-    household of readings. The series is cut into time blocks; a block summary
-    (first and last known value per column, record count) is scanned over the
-    blocks of a household, of which there are at most as many as hours on the
-    calendar, and handed back to the rows. Gaps may cross any number of blocks.
+    household of readings. The series is cut into time blocks. Inside a block the
+    neighbours come from one sorted window; a block summary (record count, first
+    and last known value per column) is scanned over the blocks of a household,
+    of which there are at most as many as hours on the calendar, and joined back.
+    Gaps may cross any number of blocks. The readings are shuffled once, by
+    household and block: both uses of the block window read the same exchange.
     """
-    keys, columns, order = list(keys), list(columns), list(order)
-    sequence = [time, *order]
+    keys, columns = list(keys), list(columns)
     in_block = [*keys, "_block"]
-    forward = Window.partitionBy(*in_block).orderBy(*sequence)
-    numbered = readings.withColumn("_block", F.date_trunc(block, F.col(time))).withColumn(
-        "_index", F.row_number().over(forward)
-    )
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in in_block])
+    window = _over(in_block, [time, *order])
+    blocks = _over(keys, ["_block"])
+    begin = F.lit("1970-01-01").cast("timestamp_ntz")
 
-    def known(c):
-        # Field order matters: structs compare by the record index first.
-        return F.when(
-            F.col(c).isNotNull(),
-            F.struct(F.col("_index").alias("i"), F.col(time).alias("t"), F.col(c).alias("x")),
-        )
+    def mark(c):
+        """Place, time and value of a known reading, null for a missing one."""
+        return f"CASE WHEN `{c}` IS NOT NULL THEN struct(_index AS i, _time AS t, `{c}` AS x) END"
 
-    summary = numbered.groupBy(*in_block).agg(
-        F.count(F.lit(1)).alias("_count"),
-        *[F.min(known(c)).alias(f"_first_{c}") for c in columns],
-        *[F.max(known(c)).alias(f"_last_{c}") for c in columns],
-    )
-    blocks_before = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    blocks_after = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("_block").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-
-    def placed(name):
-        s = F.col(name)
-        return F.when(
-            s.isNotNull(),
-            F.struct((F.col("_offset") + s["i"]).alias("i"), s["t"].alias("t"), s["x"].alias("x")),
+    def placed(name, sign):
+        """The place counted from the start of the series (+) or of the block (-)."""
+        return (
+            f"CASE WHEN `{name}` IS NOT NULL THEN "
+            f"struct(`{name}`.i {sign} _offset AS i, `{name}`.t AS t, `{name}`.x AS x) END"
         )
 
-    edges = [f"_{side}_{c}" for side in ("first", "last") for c in columns]
+    def each(text):
+        return [text.format(c=c, mark=mark(c)) for c in columns]
+
+    # The join would add these null filters on one side only and so keep the two
+    # exchanges from being the same.
+    rows = readings.withColumns(
+        {
+            "_block": F.date_trunc(block, F.col(time)),
+            "_time": F.timestamp_diff("MICROSECOND", begin, F.col(time)),
+        }
+    ).filter(present)
+    near = rows.selectExpr(
+        "*",
+        f"CAST(row_number() OVER {window} AS BIGINT) AS _index",
+        f"lead(1) OVER {window} IS NULL AS _last",
+    ).selectExpr(
+        "*",
+        *each(f"lag({{mark}}) IGNORE NULLS OVER {window} AS `_before_{{c}}`"),
+        *each(f"lead({{mark}}) IGNORE NULLS OVER {window} AS `_after_{{c}}`"),
+    )
+    head = "max(CASE WHEN _index = 1 THEN coalesce({mark}, `_after_{c}`) END) AS `_head_{c}`"
+    tail = "max(CASE WHEN _last THEN coalesce({mark}, `_before_{c}`) END) AS `_tail_{c}`"
     carried = (
-        summary.withColumn("_offset", F.coalesce(F.sum("_count").over(blocks_before), F.lit(0)))
-        .withColumns({name: placed(name) for name in edges})
-        .withColumns(
-            {f"_prior_{c}": F.last(f"_last_{c}", ignorenulls=True).over(blocks_before) for c in columns}
+        near.filter("_index = 1 OR _last")
+        .groupBy(*in_block)
+        .agg(*[F.expr(text) for text in ["max(_index) AS _count", *each(head), *each(tail)]])
+        .selectExpr("*", f"coalesce(sum(_count) OVER {blocks}, 0) - _count AS _offset")
+        .selectExpr(
+            *in_block,
+            "_offset",
+            *[f"lag({placed(f'_tail_{c}', '+')}) IGNORE NULLS OVER {blocks} AS `_prior_{c}`" for c in columns],
+            *[f"lead({placed(f'_head_{c}', '+')}) IGNORE NULLS OVER {blocks} AS `_later_{c}`" for c in columns],
         )
-        .withColumns(
-            {f"_later_{c}": F.last(f"_first_{c}", ignorenulls=True).over(blocks_after) for c in columns}
+        .selectExpr(
+            *in_block,
+            *[f"{placed(f'_{side}_{c}', '-')} AS `_{side}_{c}`" for side in ("prior", "later") for c in columns],
         )
-        .select(*in_block, "_offset", *[f"_{s}_{c}" for s in ("prior", "later") for c in columns])
     )
-
-    # Running frames only: a frame that looks ahead is evaluated from scratch
-    # per row, so "next" is "previous" in the reversed order.
-    seen = forward.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = (
-        Window.partitionBy(*in_block)
-        .orderBy(F.col("_index").desc())
-        .rowsBetween(Window.unboundedPreceding, 0)
+    joined = near.join(carried, in_block).selectExpr(
+        *[f"`{c}`" for c in [*readings.columns, "_index", "_time"]],
+        *each("coalesce(`_before_{c}`, `_prior_{c}`) AS `_a_{c}`"),
+        *each("coalesce(`_after_{c}`, `_later_{c}`) AS `_b_{c}`"),
     )
-    joined = (
-        numbered.join(carried, in_block)
-        .withColumn("_position", F.col("_offset") + F.col("_index"))
-        .withColumns({f"_mark_{c}": placed_here(c, time) for c in columns})
-        .withColumns(
-            {
-                f"_prev_{c}": F.coalesce(
-                    F.last(f"_mark_{c}", ignorenulls=True).over(seen), F.col(f"_prior_{c}")
-                )
-                for c in columns
-            }
-        )
-        .withColumns(
-            {
-                f"_next_{c}": F.coalesce(
-                    F.last(f"_mark_{c}", ignorenulls=True).over(ahead), F.col(f"_later_{c}")
-                )
-                for c in columns
-            }
-        )
+    # Without a neighbour on one side the value of the other is taken.
+    between = (
+        "`_a_{c}`.x + (`_b_{c}`.x - `_a_{c}`.x) * "
+        "coalesce(try_divide(_time - `_a_{c}`.t, `_b_{c}`.t - `_a_{c}`.t), 0D)"
     )
-
-    def filled(c):
-        a, b, here = F.col(f"_prev_{c}"), F.col(f"_next_{c}"), F.col("_position")
-        near_a, near_b = here - a["i"] <= limit, b["i"] - here <= limit
-        span = F.timestamp_diff("MICROSECOND", a["t"], b["t"])
-        along = F.timestamp_diff("MICROSECOND", a["t"], F.col(time))
-        share = F.coalesce(F.try_divide(along, span), F.lit(0.0))
-        return (
-            F.when(F.col(c).isNotNull(), F.col(c))
-            .when(a.isNotNull() & b.isNotNull() & (near_a | near_b), a["x"] + (b["x"] - a["x"]) * share)
-            .when(b.isNull() & near_a, a["x"])
-            .when(a.isNull() & near_b, b["x"])
-        )
-
-    return joined.select(
-        *[filled(c).alias(c) if c in columns else F.col(c) for c in readings.columns]
+    filled = (
+        "coalesce(`{c}`, CASE WHEN _index - `_a_{c}`.i <= LIMIT OR `_b_{c}`.i - _index <= LIMIT "
+        f"THEN coalesce({between}, `_a_{{c}}`.x, `_b_{{c}}`.x) END) AS `{{c}}`"
+    ).replace("LIMIT", str(int(limit)))
+    return joined.selectExpr(
+        *[filled.format(c=c) if c in columns else f"`{c}`" for c in readings.columns]
     )
 
 
-def placed_here(column, time):
-    """Position, time and value of a known reading; null for a missing one."""
-    return F.when(
-        F.col(column).isNotNull(),
-        F.struct(
-            F.col("_position").alias("i"), F.col(time).alias("t"), F.col(column).alias("x")
-        ),
-    )
+def _over(keys, order):
+    """Window text; lag and lead over non-null entries exist in SQL text only."""
+    by, sort = (", ".join(f"`{c}`" for c in group) for group in (keys, order))
+    return f"(PARTITION BY {by} ORDER BY {sort})"

@@ -7,10 +7,12 @@ from meterspan import fixed
 
 def stream_hourly_energy(readings, min_count=fixed.MIN_READINGS_PER_HOUR, late="2 hours"):
     """The hourly rollup as a windowed stream aggregate (append mode): an hour is
-    emitted once, when the watermark has passed its end."""
+    emitted once, when the watermark has passed its end. Event time must be an
+    instant, so the naive local time goes through the session time zone and back."""
     hour = F.window("timestamp", "1 hour").alias("_hour")
     return (
-        readings.withWatermark("timestamp", late)
+        readings.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        .withWatermark("timestamp", late)
         .groupBy("household_id", hour)
         .agg(
             (F.sum("Global_active_power") / 60.0).alias("energy_kwh"),
@@ -23,7 +25,7 @@ def stream_hourly_energy(readings, min_count=fixed.MIN_READINGS_PER_HOUR, late="
             F.count(F.lit(1)).alias("_readings"),
         )
         .filter(F.col("_readings") >= min_count)
-        .select("household_id", F.col("_hour.start").alias("datetime"), *fixed.ROLLUP_COLUMNS)
+        .select("household_id", F.col("_hour.start").cast("timestamp_ntz").alias("datetime"), *fixed.ROLLUP_COLUMNS)
     )
 
 
