@@ -75,6 +75,8 @@ def _grow(sample, columns, seed):
             continue
         feature = int(dice.choice(usable))
         cut = float(dice.uniform(low[feature], high[feature]))
+        if cut >= high[feature]:  # the extremes are neighbouring doubles
+            cut = float(low[feature])
         below = part[:, feature] <= cut
         nodes.append((tree, node, count, count + 1, feature, cut, 0.0))
         pending.append((count, part[below], depth + 1))

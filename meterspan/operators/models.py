@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterspan import fixed
 from meterspan.operators.quantiles import exact_quantiles
+from meterspan.session import ensure_checkpoint_dir
 
 
 def stable_rows(df, order, partitions):
@@ -120,25 +121,38 @@ def top_importances(importances, column=None, n=15):
     )
 
 
-def fit_daily_models(split, trees=400, depth=20, rounds=700, partitions=8, order=("household_id", "date")):
-    """Both regressors fitted on the training rows. Returns the models by name and
-    the test rows with the naive, forest and boosting predictions."""
-    ready = assembler(fixed.DAILY_FEATURES).transform(split)
-    train = stable_rows(ready.filter("split = 'training'"), order, partitions)
-    train = train.select(*order, "features", "energy_kwh").persist()
+def training_rows(split, partitions, order=("household_id", "date")):
+    """Assembled training rows in a repeatable layout."""
+    ready = assembler(fixed.DAILY_FEATURES).transform(split.filter("split = 'training'"))
+    return stable_rows(ready.select(*order, "features", "energy_kwh"), order, partitions)
+
+
+def fit_daily_models(split, estimators, partitions=8, order=("household_id", "date")):
+    """Fits the given regressors by name on the training rows, which are kept in
+    memory for the many passes. Boosting cuts its lineage at checkpoints."""
+    ensure_checkpoint_dir(split.sparkSession)
+    train = training_rows(split, partitions, order).persist()
     try:
-        forest = daily_forest(trees, depth).fit(train)
-        boosting = daily_boosting(rounds).fit(train)
+        return {name: estimator.fit(train) for name, estimator in estimators.items()}
     finally:
         train.unpersist()
-    test = ready.filter("split = 'test'").select(
-        *order,
-        "features",
-        F.col("energy_kwh").alias("actual_kwh"),
-        F.col("lag_1").alias("naive_prediction_kwh"),
+
+
+def predict_test(split, models, order=("household_id", "date")):
+    """Test rows with the naive prediction and one column per model."""
+    out = (
+        assembler(fixed.DAILY_FEATURES)
+        .transform(split.filter("split = 'test'"))
+        .select(
+            *order,
+            "features",
+            F.col("energy_kwh").alias("actual_kwh"),
+            F.col("lag_1").alias("naive_prediction_kwh"),
+        )
     )
-    predictions = boosting.transform(forest.transform(test)).drop("features")
-    return {"random_forest": forest, "boosting": boosting}, predictions
+    for model in models.values():
+        out = model.transform(out)
+    return out.drop("features")
 
 
 # --- usage modes ---------------------------------------------------------------

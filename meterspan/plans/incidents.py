@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from meterspan import fixed
-from meterspan.operators import anomalies, features
-from meterspan.operators.stats import histogram
+from meterspan.operators import anomalies, features, quality
+from meterspan.operators.stats import histogram, latest_records
 from meterspan.plans.registry import day, query, r, report
 from meterspan.plans.statistics import histogram_sql
 from meterspan.sources import sinks
@@ -202,3 +202,32 @@ def incident_export(spark, folder):
 @query("score_histogram", f"WITH {t.SCORED}, {histogram_sql('scored', 'anomaly_score', 30)}")
 def score_histogram(spark, folder):
     return report(histogram(scored(spark, folder), "anomaly_score", 30))
+
+
+@query(
+    "set_difference",
+    f"""WITH {INCIDENTS}, a AS (SELECT household_id, date FROM flagged),
+b AS (SELECT household_id, date FROM incidents WHERE severity = 'CRITICAL' OR deviation_pct < 0)
+SELECT household_id, {day('date')}, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL SELECT household_id, {day('date')}, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+)
+def set_difference(spark, folder):
+    """Flagged days against the days that are critical or low."""
+    rows = incidents(spark, folder)
+    critical = rows.filter("severity = 'CRITICAL' OR deviation_pct < 0").select("household_id", "date")
+    days = flagged(spark, folder).select("household_id", "date")
+    return report(quality.set_difference(days, critical))
+
+
+@query(
+    "common_days",
+    f"""WITH {t.DAILY}, recent AS (
+  SELECT household_id, date, row_number() OVER (PARTITION BY household_id ORDER BY date DESC) AS i FROM daily
+) SELECT household_id, {day('date')} FROM recent WHERE i BETWEEN 31 AND 40""",
+)
+def common_days(spark, folder):
+    """Days shared by the newest 40 and the 40 before the newest 30."""
+    days = latest_records(t.daily(spark, folder), 70).select("household_id", "date", "recency")
+    newest = days.filter("recency <= 40").drop("recency")
+    older = days.filter("recency > 30").drop("recency")
+    return report(quality.common_rows(newest, older))

@@ -2,7 +2,9 @@
 are the published ones; the values here keep a run short on one machine."""
 
 import time
+from functools import lru_cache
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from meterspan import fixed
@@ -74,14 +76,24 @@ def prediction_band(spark, folder):
     return report(banded.select("household_id", "date", *[c.alias(n) for n, c in band.items()]))
 
 
-def fitted(spark, folder):
-    return models.fit_daily_models(
-        split_table(spark, folder, households=1),
-        trees=TREES,
-        depth=DEPTH,
-        rounds=ROUNDS,
-        partitions=PARTITIONS,
-    )
+@lru_cache(maxsize=4)
+def _fitted(application, folder, name):
+    """A model is fitted once per application and table folder, then served."""
+    spark = SparkSession.getActiveSession()
+    estimator = {
+        "random_forest": models.daily_forest(TREES, DEPTH),
+        "boosting": models.daily_boosting(ROUNDS),
+    }[name]
+    split = split_table(spark, folder, households=1)
+    return models.fit_daily_models(split, {name: estimator}, PARTITIONS)[name]
+
+
+def fitted(spark, folder, names=("random_forest", "boosting")):
+    return {name: _fitted(spark.sparkContext.applicationId, folder, name) for name in names}
+
+
+def predicted(spark, folder, names=("random_forest", "boosting")):
+    return models.predict_test(split_table(spark, folder, households=1), fitted(spark, folder, names))
 
 
 PREDICTIONS = ["naive_prediction_kwh", "random_forest_kwh", "boosting_kwh"]
@@ -118,21 +130,20 @@ def hourly_prediction_sample(spark, folder):
 @query("daily_model_comparison")
 def daily_model_comparison(spark, folder):
     start = time.time()
-    _, predictions = fitted(spark, folder)
+    fitted(spark, folder)
     seconds = time.time() - start
-    metrics = models.regression_metrics(predictions, "actual_kwh", PREDICTIONS)
+    metrics = models.regression_metrics(predicted(spark, folder), "actual_kwh", PREDICTIONS)
     return metrics.withColumn("Training_Time", F.lit(seconds))
 
 
 @query("test_predictions")
 def test_predictions(spark, folder):
-    return report(fitted(spark, folder)[1])
+    return report(predicted(spark, folder))
 
 
 def importances(spark, folder):
-    found, _ = fitted(spark, folder)
     labels = {"random_forest": "RandomForest_Importance", "boosting": "Boosting_Importance"}
-    named = {labels[name]: model for name, model in found.items()}
+    named = {labels[name]: model for name, model in fitted(spark, folder).items()}
     return models.feature_importances(spark, named, fixed.DAILY_FEATURES)
 
 
@@ -199,11 +210,11 @@ def forest_context(spark, folder):
 
 def forecasts(spark, folder, horizon):
     daily = t.daily(spark, folder, households=1)
-    found, predictions = fitted(spark, folder)
+    predictions = predicted(spark, folder, ("random_forest",))
     mae = models.regression_metrics(predictions, "actual_kwh", ["random_forest_kwh"]).first()["MAE"]
     asked = requests(spark, folder, horizon, households=1)
     planned = forecast.plan_requests(asked, daily)
-    return forecast.roll_forward(planned, found["random_forest"], mae)
+    return forecast.roll_forward(planned, fitted(spark, folder, ("random_forest",))["random_forest"], mae)
 
 
 @query("forecast_next_day")
