@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterspan import fixed
+from meterspan.session import written
 
 
 def typed_readings(raw):
@@ -66,80 +67,86 @@ def interpolate_gaps(
     keys=("household_id",),
     time="timestamp",
     order=("reading_id",),
-    block="hour",
+    block_seconds=3600,
 ):
     """Linear-in-time fill between known neighbours, at most ``limit`` records
     from either side; runs at the ends take the nearest value. Readings without
     a time are left out.
 
-    A household may hold any share of the readings, so no window spans a whole
-    household of readings. The series is cut into time blocks. Inside a block the
-    neighbours come from one sorted window; a block summary (record count, first
-    and last known value per column) is scanned over the blocks of a household,
-    of which there are at most as many as hours on the calendar, and joined back.
-    Gaps may cross any number of blocks. The readings are shuffled once, by
-    household and block: both uses of the block window read the same exchange.
+    Complete readings pass through one narrow scan. For the others the series is
+    cut into time blocks. A grouped count finds the blocks with a missing value;
+    those and the blocks next to them hold every neighbour a gap can need, since
+    a block without a gap ends and begins with known values. The list of these
+    blocks is written to the shared scratch folder; its size then decides whether
+    it is broadcast, so that only the readings near gaps are shuffled. Inside a block the neighbours come from a sorted window, across
+    blocks from the first and last known values per block. Windows over a whole
+    household see one row per block, at most the hours of the calendar, so a
+    household may hold any share of the readings and a gap any length.
     """
     keys, columns = list(keys), list(columns)
     in_block = [*keys, "_block"]
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in in_block])
-    window = _over(in_block, [time, *order])
-    blocks = _over(keys, ["_block"])
+    window, blocks = _over(in_block, [time, *order]), _over(keys, ["_block"])
     begin = F.lit("1970-01-01").cast("timestamp_ntz")
-
-    def mark(c):
-        """Place, time and value of a known reading, null for a missing one."""
-        return f"CASE WHEN `{c}` IS NOT NULL THEN struct(_index AS i, _time AS t, `{c}` AS x) END"
-
-    def placed(name, sign):
-        """The place counted from the start of the series (+) or of the block (-)."""
-        return (
-            f"CASE WHEN `{name}` IS NOT NULL THEN "
-            f"struct(`{name}`.i {sign} _offset AS i, `{name}`.t AS t, `{name}`.x AS x) END"
-        )
+    gap = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
     def each(text):
-        return [text.format(c=c, mark=mark(c)) for c in columns]
-
-    # The join would add these null filters on one side only and so keep the two
-    # exchanges from being the same.
-    rows = readings.withColumns(
-        {
-            "_block": F.date_trunc(block, F.col(time)),
-            "_time": F.timestamp_diff("MICROSECOND", begin, F.col(time)),
-        }
-    ).filter(present)
-    near = rows.selectExpr(
-        "*",
-        f"CAST(row_number() OVER {window} AS BIGINT) AS _index",
-        f"lead(1) OVER {window} IS NULL AS _last",
-    ).selectExpr(
-        "*",
-        *each(f"lag({{mark}}) IGNORE NULLS OVER {window} AS `_before_{{c}}`"),
-        *each(f"lead({{mark}}) IGNORE NULLS OVER {window} AS `_after_{{c}}`"),
+        return [text.format(c=c) for c in columns]
+
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [time, *keys]])
+    complete = readings.filter(present & ~gap)
+    rows = (
+        readings.withColumn("_time", F.timestamp_diff("MICROSECOND", begin, F.col(time)))
+        .withColumn("_block", F.expr(f"_time div {int(block_seconds) * 1_000_000}L"))
+        .filter(present & F.col("_block").isNotNull())
     )
-    head = "max(CASE WHEN _index = 1 THEN coalesce({mark}, `_after_{c}`) END) AS `_head_{c}`"
-    tail = "max(CASE WHEN _last THEN coalesce({mark}, `_before_{c}`) END) AS `_tail_{c}`"
-    carried = (
-        near.filter("_index = 1 OR _last")
-        .groupBy(*in_block)
-        .agg(*[F.expr(text) for text in ["max(_index) AS _count", *each(head), *each(tail)]])
-        .selectExpr("*", f"coalesce(sum(_count) OVER {blocks}, 0) - _count AS _offset")
+    near_gaps = (
+        rows.groupBy(*in_block)
+        .agg(F.count(F.lit(1)).alias("_count"), F.max(gap).alias("_gap"))
         .selectExpr(
             *in_block,
-            "_offset",
-            *[f"lag({placed(f'_tail_{c}', '+')}) IGNORE NULLS OVER {blocks} AS `_prior_{c}`" for c in columns],
-            *[f"lead({placed(f'_head_{c}', '+')}) IGNORE NULLS OVER {blocks} AS `_later_{c}`" for c in columns],
+            f"sum(_count) OVER {blocks} - _count AS _offset",
+            f"_gap OR lag(_gap, 1, false) OVER {blocks} OR lead(_gap, 1, false) OVER {blocks} AS _near",
+        )
+        .filter("_near")
+        .drop("_near")
+    )
+    near_gaps = written(near_gaps, "near-gaps")
+    marks = (
+        rows.join(near_gaps, in_block)
+        .selectExpr("*", f"_offset + row_number() OVER {window} AS _place")
+        .selectExpr(
+            "*",
+            *each(
+                "CASE WHEN `{c}` IS NOT NULL THEN struct(_place AS i, _time AS t, `{c}` AS x) END AS `_mark_{c}`"
+            ),
+        )
+    )
+    # Structs compare by their first field, the place in the series.
+    edges = (
+        marks.groupBy(*in_block)
+        .agg(
+            *[F.expr(text) for text in each("min(`_mark_{c}`) AS `_head_{c}`")],
+            *[F.expr(text) for text in each("max(`_mark_{c}`) AS `_tail_{c}`")],
         )
         .selectExpr(
             *in_block,
-            *[f"{placed(f'_{side}_{c}', '-')} AS `_{side}_{c}`" for side in ("prior", "later") for c in columns],
+            *each(f"lag(`_tail_{{c}}`) IGNORE NULLS OVER {blocks} AS `_prior_{{c}}`"),
+            *each(f"lead(`_head_{{c}}`) IGNORE NULLS OVER {blocks} AS `_later_{{c}}`"),
         )
     )
-    joined = near.join(carried, in_block).selectExpr(
-        *[f"`{c}`" for c in [*readings.columns, "_index", "_time"]],
-        *each("coalesce(`_before_{c}`, `_prior_{c}`) AS `_a_{c}`"),
-        *each("coalesce(`_after_{c}`, `_later_{c}`) AS `_b_{c}`"),
+    joined = (
+        marks.selectExpr(
+            *[f"`{c}`" for c in [*readings.columns, "_block", "_place", "_time"]],
+            *each(f"lag(`_mark_{{c}}`) IGNORE NULLS OVER {window} AS `_before_{{c}}`"),
+            *each(f"lead(`_mark_{{c}}`) IGNORE NULLS OVER {window} AS `_after_{{c}}`"),
+        )
+        .filter(gap)
+        .join(edges, in_block)
+        .selectExpr(
+            *[f"`{c}`" for c in [*readings.columns, "_place", "_time"]],
+            *each("coalesce(`_before_{c}`, `_prior_{c}`) AS `_a_{c}`"),
+            *each("coalesce(`_after_{c}`, `_later_{c}`) AS `_b_{c}`"),
+        )
     )
     # Without a neighbour on one side the value of the other is taken.
     between = (
@@ -147,12 +154,13 @@ def interpolate_gaps(
         "coalesce(try_divide(_time - `_a_{c}`.t, `_b_{c}`.t - `_a_{c}`.t), 0D)"
     )
     filled = (
-        "coalesce(`{c}`, CASE WHEN _index - `_a_{c}`.i <= LIMIT OR `_b_{c}`.i - _index <= LIMIT "
+        "coalesce(`{c}`, CASE WHEN _place - `_a_{c}`.i <= LIMIT OR `_b_{c}`.i - _place <= LIMIT "
         f"THEN coalesce({between}, `_a_{{c}}`.x, `_b_{{c}}`.x) END) AS `{{c}}`"
     ).replace("LIMIT", str(int(limit)))
-    return joined.selectExpr(
+    repaired = joined.selectExpr(
         *[filled.format(c=c) if c in columns else f"`{c}`" for c in readings.columns]
     )
+    return complete.unionByName(repaired)
 
 
 def _over(keys, order):

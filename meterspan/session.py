@@ -40,3 +40,11 @@ def scratch_folder(spark, name):
     """A fresh folder that every executor can reach, below the checkpoint folder."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df, name):
+    """The rows written once and read back: the lineage ends here, and the reader
+    knows the size, which a join needs to choose its strategy."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -49,14 +49,14 @@ def test_ends_take_the_nearest_value(spark):
     assert (got[72:132] == 5.0).all() and np.isnan(got[132:]).all()
 
 
-@pytest.mark.parametrize("block", ["hour", "day", "minute"])
+@pytest.mark.parametrize("block", [3600, 86400, 60])
 def test_irregular_series_matches_pandas(spark, block):
     rng = np.random.default_rng(8)
     values = rng.normal(10, 3, 4000)
     for start in rng.integers(0, 3900, 60):
         values[start : start + int(rng.integers(1, 160))] = np.nan
     local = series(values, seed=5)
-    np.testing.assert_allclose(filled(spark, local, block=block), by_pandas(local), atol=1e-7)
+    np.testing.assert_allclose(filled(spark, local, block_seconds=block), by_pandas(local), atol=1e-7)
 
 
 def test_households_do_not_mix(spark):
