@@ -9,16 +9,32 @@ from meterspan import fixed
 from meterspan.functions.calendar import daily_calendar
 
 
-def series_check(table, time="date", keys=("household_id",)):
-    """Rows, distinct times and steps backwards per household.
+def series_check(table, time="date", keys=("household_id",), rows_per_block=100_000):
+    """Rows, steps backwards and repeated times per household.
 
-    ``table`` carries ``position``, the order the rows were stored in."""
-    window = Window.partitionBy(*keys).orderBy("position")
-    stepped = table.withColumn("_before", F.lag(time).over(window))
-    return stepped.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(time) < F.col("_before")).alias("out_of_order"),
-        F.count_if(F.col(time) == F.col("_before")).alias("repeated"),
+    ``table`` carries ``position``, the order the rows were stored in. Rows are
+    compared inside position blocks and blocks at their edges, so that no window
+    holds a whole household of rows."""
+    keys = list(keys)
+    in_block = [*keys, "_block"]
+    line = Window.partitionBy(*in_block).orderBy("position")
+    blocks = (
+        table.withColumn("_block", F.floor(F.col("position") / rows_per_block))
+        .withColumn("_before", F.lag(time).over(line))
+        .groupBy(*in_block)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count_if(F.col(time) < F.col("_before")).alias("_back"),
+            F.count_if(F.col(time) == F.col("_before")).alias("_same"),
+            F.min_by(time, "position").alias("_head"),
+            F.max_by(time, "position").alias("_tail"),
+        )
+        .withColumn("_before", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_block")))
+    )
+    return blocks.groupBy(*keys).agg(
+        F.sum("_rows").alias("rows"),
+        (F.sum("_back") + F.count_if(F.col("_head") < F.col("_before"))).alias("out_of_order"),
+        (F.sum("_same") + F.count_if(F.col("_head") == F.col("_before"))).alias("repeated"),
     )
 
 

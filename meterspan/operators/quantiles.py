@@ -1,9 +1,9 @@
 """Exact quantiles over groups of any size."""
 
-from functools import reduce
-
-from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from meterspan.session import written
 
 
 def exact_quantiles(df, value, probs, keys=(), accuracy=10_000):
@@ -43,7 +43,9 @@ def exact_quantiles(df, value, probs, keys=(), accuracy=10_000):
             )
         ).alias("_t"),
     ).select(*group, "_n", "_t.*")
-    targets = targets.withColumn("_h", F.col("_p") * (F.col("_n") - 1))
+    # One row per group and quantile. Written, their size is known, so the join
+    # below broadcasts them when small and splits a large group otherwise.
+    targets = written(targets.withColumn("_h", F.col("_p") * (F.col("_n") - 1)), "quantile-targets")
 
     per_value = rows.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
     counted = (
@@ -67,6 +69,7 @@ def exact_quantiles(df, value, probs, keys=(), accuracy=10_000):
         F.when(holds, F.col("_high")).otherwise(F.lit(float("inf"))).alias("_high"),
         F.when(holds, F.col("_below")).otherwise(F.lit(0)).alias("_below"),
     )
+    brackets = written(brackets, "quantile-brackets")
     ranked = (
         per_value.join(brackets, group)
         .filter(F.col("_v").between(F.col("_low"), F.col("_high")))
@@ -91,8 +94,3 @@ def exact_quantiles(df, value, probs, keys=(), accuracy=10_000):
         *[F.max(F.when(F.col("_i") == i, answer)).alias(f"q{i}") for i in range(len(probs))]
     )
     return wide.drop("_all") if not keys else wide
-
-
-def join_all(frames, keys):
-    """Inner join of grouped results that share their keys."""
-    return reduce(lambda a, b: a.join(b, list(keys)), frames)

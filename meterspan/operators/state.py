@@ -61,27 +61,36 @@ def household_limits(households):
     return households.withColumns({**numbers, **texts})
 
 
-def export_profiles(settings, appliances, scenarios, totals, keys=KEYS):
-    """One nested document per household: settings, appliances, scenarios, totals.
+def export_profiles(settings, appliances, scenarios, totals, keys=KEYS, part_size=1000):
+    """Nested documents: settings, appliances, scenarios and totals per household.
 
-    The document holds the household's own lists by definition; the stored state
-    it comes from is one JSON text per household, so its size is that of a record."""
+    A household is one document, part 0, unless its lists are longer than
+    ``part_size``: then they are dealt to as many parts as needed, each carrying
+    the settings and totals, so that no task holds a list of any length."""
     keys = list(keys)
+    by_part = [*keys, "part"]
 
     def listed(df, name, order):
         fields = [c for c in df.columns if c not in keys and c != order]
-        return df.groupBy(*keys).agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(order, *fields))),
-                lambda s: F.struct(*[s[c].alias(c) for c in fields]),
-            ).alias(name)
+        sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / part_size).alias("_parts"))
+        return (
+            df.join(sizes, keys)
+            .withColumn("part", F.pmod(F.xxhash64(order), F.col("_parts")))
+            .groupBy(*by_part)
+            .agg(
+                F.transform(
+                    F.array_sort(F.collect_list(F.struct(order, *fields))),
+                    lambda s: F.struct(*[s[c].alias(c) for c in fields]),
+                ).alias(name)
+            )
         )
 
     fields = [c for c in settings.columns if c not in keys]
     sums = [c for c in totals.columns if c not in keys]
+    first = settings.select(*keys, F.lit(0).cast("long").alias("part"))
     return (
-        settings.select(*keys, F.struct(*fields).alias("settings"))
-        .join(listed(appliances, "appliances", "position"), keys, "left")
-        .join(listed(scenarios, "scenarios", "position"), keys, "left")
+        first.join(listed(appliances, "appliances", "position"), by_part, "full_outer")
+        .join(listed(scenarios, "scenarios", "position"), by_part, "full_outer")
+        .join(settings.select(*keys, F.struct(*fields).alias("settings")), keys)
         .join(totals.select(*keys, F.struct(*sums).alias("simulation")), keys, "left")
     )

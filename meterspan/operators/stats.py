@@ -4,13 +4,11 @@
 household's days, bounded by the calendar; pooled columns use
 ``operators.quantiles`` instead."""
 
-from functools import reduce
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterspan import fixed
-from meterspan.functions.calendar import daily_calendar, month_key, season_code
+from meterspan.functions.calendar import month_key, season_code
 from meterspan.functions.scalars import case_of, percent_change, share_of_max
 
 KEYS = ("household_id",)
@@ -31,13 +29,11 @@ def summary_statistics(daily, keys=KEYS):
     x, n = F.col("energy_kwh"), F.col("count")
     base = daily.groupBy(*keys).agg(
         F.avg(x).alias("mean"),
-        F.median(x).alias("median"),
+        F.percentile(x, [0.25, 0.5, 0.75]).alias("_q"),
         F.stddev_samp(x).alias("std"),
         F.var_samp(x).alias("variance"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
-        F.percentile(x, 0.25).alias("q25"),
-        F.percentile(x, 0.75).alias("q75"),
         F.skewness(x).alias("_g1"),
         F.kurtosis(x).alias("_g2"),
         F.count(x).alias("count"),
@@ -47,14 +43,14 @@ def summary_statistics(daily, keys=KEYS):
     return base.select(
         *keys,
         "mean",
-        "median",
+        F.col("_q")[1].alias("median"),
         "std",
         "variance",
         "min",
         "max",
-        "q25",
-        "q75",
-        (F.col("q75") - F.col("q25")).alias("iqr"),
+        F.col("_q")[0].alias("q25"),
+        F.col("_q")[2].alias("q75"),
+        (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"),
         F.when(n > 2, skew).alias("skewness"),
         F.when(n > 3, kurt).alias("kurtosis"),
         "count",
@@ -411,12 +407,3 @@ def series_uniqueness(daily, keys=KEYS):
         F.count(F.lit(1)).alias("distinct_dates"),
         F.count_if(F.col("_n") > 1).alias("repeated_dates"),
     )
-
-
-def fresh_calendar(df):
-    """The calendar columns computed from ``date`` alone."""
-    return df.withColumns(daily_calendar(F.col("date")))
-
-
-def union_all(frames):
-    return reduce(lambda a, b: a.unionByName(b), frames)

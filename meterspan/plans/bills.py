@@ -27,7 +27,7 @@ _KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 FROM checked WHERE reject_reason IS NULL""",
 )
 def bill(spark, folder):
-    return report(billing.compute_bills(billing.check_bills(t.bill_requests(spark, folder))))
+    return billing.compute_bills(billing.check_bills(t.bill_requests(spark, folder)))
 
 
 @query("bill_rejects", f"WITH {_REQUESTS} SELECT {_KEYS}, reject_reason FROM checked WHERE reject_reason IS NOT NULL")

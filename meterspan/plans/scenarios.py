@@ -329,7 +329,7 @@ def recommendation_match(spark, folder):
     ELSE 's-restored-' || o_orderkey END) AS n FROM orders WHERE o_orderkey % 13 <> 0 GROUP BY 1
 ), lists AS (
   SELECT household_id, string_agg(id, ',' ORDER BY position) AS ids FROM appliances GROUP BY 1
-) SELECT h.household_id, {r('h.tariff AS tariff')}, ids AS appliance_ids,
+) SELECT h.household_id, CAST(0 AS BIGINT) AS part, {r('h.tariff AS tariff')}, ids AS appliance_ids,
   CASE WHEN n IS NULL THEN 0 ELSE CAST(n AS INTEGER) END AS scenarios,
   {r('CASE WHEN c IS NOT NULL THEN greatest(0, c * s.tariff - p * s.tariff) END AS saved_cost', digits=5)}
 FROM households h LEFT JOIN lists l USING (household_id) LEFT JOIN plans USING (household_id)
@@ -347,6 +347,7 @@ def profile_export(spark, folder):
     return report(
         profiles.select(
             "household_id",
+            "part",
             F.col("settings.tariff").alias("tariff"),
             F.array_join(ids, ",").alias("appliance_ids"),
             F.coalesce(F.size("scenarios"), F.lit(0)).alias("scenarios"),

@@ -182,7 +182,7 @@ def order_check(spark, folder):
         F.to_date("o_orderdate").alias("date"),
         F.col("o_orderkey").alias("position"),
     )
-    return quality.series_check(stored)
+    return quality.series_check(stored, rows_per_block=1000)
 
 
 _SHIFTED = f"{t.DAILY}, shifted AS (SELECT * REPLACE (date + {fixed.DATE_SHIFT_DAYS} AS date) FROM daily)"
