@@ -183,7 +183,10 @@ def latest_records(daily, n, keys=KEYS, before=None):
 
     The ranked filter becomes a per-group limit before the shuffle."""
     if before is not None:
-        daily = daily.filter(F.col("date") < F.lit(before).cast("date"))
+        # A zone in the text is dropped; a time of day takes the whole day in.
+        cutoff = F.lit(before).cast("timestamp_ntz")
+        part_day = (cutoff > F.to_date(cutoff).cast("timestamp_ntz")).cast("int")
+        daily = daily.filter(F.col("date") < F.date_add(F.to_date(cutoff), part_day))
     newest_first = Window.partitionBy(*keys).orderBy(F.col("date").desc())
     return (
         daily.withColumn("recency", F.row_number().over(newest_first))

@@ -17,6 +17,11 @@ DAILY = _table(("household_id", _L), ("date", T.DateType()), *[(c, _D) for c in
 HOURLY = _table(
     ("household_id", _L), ("datetime", T.TimestampNTZType()), *[(c, _D) for c in fixed.ROLLUP_COLUMNS]
 )
+FEATURES = T.StructType(
+    DAILY.fields
+    + [T.StructField(c, _I, True) for c in fixed.CALENDAR_FEATURES]
+    + [T.StructField(c, _D, True) for c in fixed.DAILY_FEATURES if c not in fixed.CALENDAR_FEATURES]
+)
 ANOMALIES = _table(
     ("household_id", _L),
     ("date", T.DateType()),

@@ -40,6 +40,11 @@ def daily_table(spark, path, fmt="parquet"):
     )
 
 
+def feature_table(spark, path):
+    """The daily feature table as it was written, with its agreed types."""
+    return spark.read.schema(schemas.FEATURES).parquet(path)
+
+
 def readings_or_daily(spark, raw_path=None, processed_path=None, household_id=0):
     """The raw file when it is there, else the processed table, else an error.
 

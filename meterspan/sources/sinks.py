@@ -5,10 +5,14 @@ from pyspark.sql import functions as F
 from meterspan.functions.scalars import fixed_decimals
 
 
-def write_csv(df, path):
-    """Cells with a quote, comma or newline are quoted; a quote is doubled."""
+def write_csv(df, path, order=()):
+    """Cells with a quote, comma or newline are quoted; a quote is doubled.
+
+    With ``order`` the files are range-partitioned and sorted, so that they read
+    in order one after the other."""
     (
-        df.write.mode("overwrite")
+        (df.orderBy(*order) if order else df)
+        .write.mode("overwrite")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')

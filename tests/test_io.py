@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterspan import fixed, schemas
-from meterspan.operators import clean
+from meterspan.operators import clean, features, quality, state, stats
 from meterspan.sources import readers, sinks
 from meterspan.sources import tables as t
 from meterspan.session import ensure_checkpoint_dir, scratch_folder
@@ -108,3 +108,38 @@ def test_checkpoint_folder(spark):
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() == folder
     assert scratch_folder(spark, "x").startswith(folder)
+
+
+def test_sorted_csv_and_feature_table(spark, folder, tmp_path):
+    daily = t.daily(spark, folder)
+    sinks.write_csv(daily.select("household_id", "date"), str(tmp_path / "sorted"), ["date", "household_id"])
+    files = sorted((tmp_path / "sorted").glob("part-*"))
+    dates = [line.split(",")[1] for f in files for line in f.read_text().splitlines()[1:]]
+    assert dates == sorted(dates) and len(dates) == daily.count()
+    table = features.complete_features(daily)
+    table.write.parquet(str(tmp_path / "features"))
+    back = readers.feature_table(spark, str(tmp_path / "features"))
+    assert quality.set_difference(back, table.select(*back.columns)).count() == 0
+    assert features.feature_contract(back).count() == 0
+
+
+def test_cutoffs(spark):
+    days = spark.createDataFrame([(1, datetime.date(2024, 1, d), 1.0) for d in (1, 2, 3)], "household_id long, date date, energy_kwh double")
+
+    def kept(before):
+        return stats.latest_records(days, 9, before=before).count()
+
+    assert [kept(x) for x in ("2024-01-02", "2024-01-02 10:00", "2024-01-02T00:00:00+05:30", None)] == [1, 2, 1, 3]
+
+
+def test_long_lists_are_split_into_parts(spark):
+    homes = spark.createDataFrame([(1, 8.0), (2, 9.0)], "household_id long, tariff double")
+    rows = [(1, i, f"a{i}") for i in range(50)] + [(2, 0, "b")]
+    lists = spark.createDataFrame(rows, "household_id long, position int, id string")
+    parts = state.export_profiles(homes, lists, lists.limit(0), homes, part_size=10).collect()
+    found = {}
+    for p in parts:
+        found.setdefault(p.household_id, []).append([a.id for a in p.appliances or []])
+    assert len(found[1]) > 1 and max(map(len, found[1])) < 25
+    assert sorted(sum(found[1], [])) == sorted(f"a{i}" for i in range(50))
+    assert found[2] == [["b"]]
