@@ -157,11 +157,21 @@ def top_importances(spark, folder):
     return models.top_importances(importances(spark, folder))
 
 
-def clustered(spark, folder):
+def scaled_days(spark, folder):
     table = features.complete_features(t.daily(spark, folder, households=1))
-    scaled = models.scaled_clusters(table).select("household_id", "date", "energy_kwh", "scaled")
-    scores, best, model = models.search_clusters(spark, scaled, restarts=RESTARTS)
-    return scores, best, model.transform(scaled).drop("scaled")
+    return models.scaled_clusters(table).select("household_id", "date", "energy_kwh", "scaled")
+
+
+@lru_cache(maxsize=4)
+def _clusters(application, folder):
+    """Scores, best k and its model, searched once per application and folder."""
+    spark = SparkSession.getActiveSession()
+    return models.search_clusters(spark, scaled_days(spark, folder), restarts=RESTARTS)
+
+
+def clustered(spark, folder):
+    scores, best, model = _clusters(spark.sparkContext.applicationId, folder)
+    return scores, best, model.transform(scaled_days(spark, folder)).drop("scaled")
 
 
 @query("cluster_search")
