@@ -10,10 +10,17 @@ from meterspan import fixed
 # A plain decimal number. A cast alone would also take Java suffixes such as 1d.
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+# Spark's trim takes spaces only; these are the blanks of a text field.
+BLANKS = " \t\n\r\x0b\x0c\u00a0\ufeff"
+
+
+def stripped(text):
+    return F.btrim(text, F.lit(BLANKS))
+
 
 def to_number(text):
     """Number of a text field; blank counts as 0, other text as missing."""
-    return F.when(F.trim(text) == "", F.lit(0.0)).when(
+    return F.when(stripped(text) == "", F.lit(0.0)).when(
         text.rlike(NUMBER_TEXT), text.try_cast("double")
     )
 
@@ -57,7 +64,7 @@ def number_or(x, fallback, low=None, high=None):
 
 def text_or(text, fallback, max_length=500):
     """Trimmed and cut to length; blank text takes the fallback."""
-    trimmed = F.trim(text)
+    trimmed = stripped(text)
     return F.when(F.length(trimmed) > 0, F.substring(trimmed, 1, max_length)).otherwise(fallback)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterspan import fixed, schemas
 from meterspan.functions.arrays import literal_rows
 from meterspan.functions.documents import with_fields
-from meterspan.functions.scalars import co2_kg, number_or, text_or, to_number, is_finite
+from meterspan.functions.scalars import co2_kg, is_finite, number_or, stripped, text_or, to_number
 
 KEYS = ("household_id",)
 
@@ -219,7 +219,7 @@ def draft_errors(drafts):
         return bad if high is None else bad | (x > high)
 
     checks = [
-        ("name", F.length(F.trim(F.coalesce("name", F.lit("")))) == 0),
+        ("name", F.length(stripped(F.coalesce("name", F.lit("")))) == 0),
         ("powerWatts", outside("powerWatts", 0, open_low=True)),
         ("quantity", outside("quantity", 1)),
         ("currentDailyHours", outside("currentDailyHours", 0, 24)),

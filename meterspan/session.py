@@ -15,6 +15,8 @@ def local_session(app="meterspan", cores="*", **conf):
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        # The JVM does not compile methods above 8000 bytes; smaller pieces run faster.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from meterspan import fixed, schemas
 from meterspan.functions.documents import is_object, items
-from meterspan.functions.scalars import is_whole_number_text
+from meterspan.functions.scalars import is_whole_number_text, stripped
 
 
 def raw_readings(spark, path, household_id=0):
@@ -99,7 +99,7 @@ def forgiving_csv(spark, path, columns):
         .option("escape", '"')
         .csv(path)
     )
-    blank = F.concat_ws("", *[F.trim(F.coalesce(F.col(c), F.lit(""))) for c in columns]) == ""
+    blank = F.concat_ws("", *[stripped(F.coalesce(F.col(c), F.lit(""))) for c in columns]) == ""
     return frame.filter(~blank)
 
 

@@ -40,8 +40,12 @@ def score_stream(days, recorded, model, path, checkpoint):
     that is run again after a failure replaces its own output."""
 
     def write(batch, number):
-        complete = with_recent_window(batch, recorded()).na.drop(subset=model.columns)
-        model.score(complete).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.persist()  # read twice: for its first days and for its rows
+        try:
+            complete = with_recent_window(batch, recorded()).na.drop(subset=model.columns)
+            model.score(complete).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        finally:
+            batch.unpersist()
 
     query = (
         days.writeStream.foreachBatch(write)

@@ -60,7 +60,7 @@ def test_scalars(spark):
         text=fixed_decimals(number(2.5), 3),
         padded=zero_pad(F.lit(7)),
         name=text_or(F.lit("  abc "), F.lit("d"), 2),
-        blank=text_or(F.lit("   "), F.lit("d")),
+        blank=text_or(F.lit(" \t\n"), F.lit("d")),
     )
     assert row.asDict() == {
         "zero": 0.0,

