@@ -78,10 +78,11 @@ def interpolate_gaps(
     those and the blocks next to them hold every neighbour a gap can need, since
     a block without a gap ends and begins with known values. The list of these
     blocks is written to the shared scratch folder; its size then decides whether
-    it is broadcast, so that only the readings near gaps are shuffled. Inside a block the neighbours come from a sorted window, across
-    blocks from the first and last known values per block. Windows over a whole
-    household see one row per block, at most the hours of the calendar, so a
-    household may hold any share of the readings and a gap any length.
+    it is broadcast, so that only the readings near gaps are shuffled. Inside a
+    block the neighbours come from a sorted window, across blocks from the first
+    and last known values per block. Windows over a whole household see one row
+    per block, at most the hours of the calendar, so a household may hold any
+    share of the readings and a gap any length.
     """
     keys, columns = list(keys), list(columns)
     in_block = [*keys, "_block"]

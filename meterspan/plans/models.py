@@ -18,7 +18,6 @@ from meterspan.sources import tables as t
 
 TREES, DEPTH, ROUNDS = 50, 8, 20
 RESTARTS = 2
-PARTITIONS = 8
 
 _TEST = f"""{PLAIN}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY date) AS i,
@@ -85,7 +84,7 @@ def _fitted(application, folder, name):
         "boosting": models.daily_boosting(ROUNDS),
     }[name]
     split = split_table(spark, folder, households=1)
-    return models.fit_daily_models(split, {name: estimator}, PARTITIONS)[name]
+    return models.fit_daily_models(split, {name: estimator})[name]
 
 
 def fitted(spark, folder, names=("random_forest", "boosting")):
@@ -106,7 +105,7 @@ def hourly_rf(spark, folder):
     try:
         train, test = features.date_split(table, SPLIT_DATE)
         order = ["household_id", "datetime"]
-        model = models.hourly_forest().fit(models.stable_rows(train, order, PARTITIONS))
+        model = models.hourly_forest().fit(models.stable_rows(train, order))
         predictions = model.transform(test)
         return spark.createDataFrame(
             models.regression_metrics(predictions, "target_next_hour_kwh", ["prediction"]).collect(),
@@ -121,7 +120,7 @@ def hourly_prediction_sample(spark, folder):
     """The first 300 test hours with their predictions."""
     train, test = features.date_split(hourly_features(spark, folder), SPLIT_DATE)
     model = models.hourly_forest(trees=10, depth=5).fit(
-        models.stable_rows(train, ["household_id", "datetime"], PARTITIONS)
+        models.stable_rows(train, ["household_id", "datetime"])
     )
     sample = model.transform(test).select("household_id", "datetime", "target_next_hour_kwh", "prediction")
     return report(sample.orderBy("household_id", "datetime").limit(300))

@@ -31,6 +31,10 @@ def test_forest_beats_the_naive_prediction(split, fitted):
     assert set(table) == set(plans.PREDICTIONS)
 
 
+def test_partitions_follow_the_rows():
+    assert [models.partitions_for(n) for n in (0, 982, 34_000, 1_000_000, 10**9)] == [1, 1, 9, 100, 20_000]
+
+
 def test_metrics_match_numpy(spark):
     y, p = np.array([3.0, 5.0, 9.0]), np.array([2.0, 5.0, 11.0])
     frame = spark.createDataFrame(list(zip(y.tolist(), p.tolist())), "y double, p double")
