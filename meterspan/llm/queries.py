@@ -47,12 +47,13 @@ def op4_blob_ledger_secrets(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     rows = secrets.findings(docs, scratch_folder(spark, "secret-ledger"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.BASE
-    ]
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return rows.select(
         "doc_id",
-        *counts,
+        *(number(kind) for kind in secrets.BASE),
         F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"),
     )
