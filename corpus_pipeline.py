@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from meterspan.llm import bpe, decontaminate, language, near_dedup, queries, secrets
+from meterspan.llm.samples import sized
 from meterspan.session import scratch_folder, written
 
 
@@ -21,7 +22,7 @@ def language_id(spark, docs, sf_dir):
 def near_dedup_stage(spark, docs, sf_dir):
     """Keeps the document with the smallest doc_id of each group of near duplicates."""
     kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = written(kept, "kept-ids")
+    kept = sized(written(kept, "kept-ids"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
@@ -29,7 +30,7 @@ def decontamination(spark, docs, sf_dir):
     """Drops documents that hold an item of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.contaminated(docs, benchmark).select(F.col("doc_id").alias("found_id")).distinct()
-    found = written(found, "contaminated-ids")
+    found = sized(written(found, "contaminated-ids"))
     return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"]), "left_anti")
 
 

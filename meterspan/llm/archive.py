@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
+from meterspan.llm.text import small_batches
 from meterspan.session import scratch_folder, written
 
 #: Payloads from this size on are stored once; further copies are revisits.
@@ -124,6 +125,7 @@ def write_archives(pages, folder):
     Of rows with equal html of ``SHARED`` bytes or more, those with the largest page_id
     are responses and the others revisits of it; smaller ones are all responses. A null
     html is an empty payload; null page_ids are smaller than any other."""
+    small_batches(pages.sparkSession)
     body = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", body.alias("html"), F.sha1(body.cast("binary")).alias("digest"))
     large = F.octet_length("html") >= SHARED

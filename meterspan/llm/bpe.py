@@ -17,6 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from meterspan.llm import text
+
 WORDS = 1 << 16
 #: Buckets of the literal rank map: an array of small maps.
 BUCKETS = 1 << 16
@@ -275,6 +277,7 @@ def encoded(docs, path, pattern, keep=("doc_id",), words=WORDS):
 
     A null text is empty and has no tokens. Texts with characters that Java's Unicode
     tables lack are split in Python. Special tokens are ordinary text."""
+    text.small_batches(docs.sparkSession)
     table = ranks(path)
     common = encode_words(commonest(docs, pattern, words), table).collect()
     known = ([r[0].encode() for r in common], [np.array(r[1], np.uint32) for r in common])

@@ -247,6 +247,7 @@ def contaminated(docs, benchmark, block=BLOCK):
 
     Whole texts are searched. Null or wordless texts and items match nothing. Repeated
     rows give repeated rows. Runs jobs for each block of items."""
+    text.small_batches(docs.sparkSession)
     spark = docs.sparkSession
     items = benchmark.where("text is not null").select("item_id", "text")
     out = spark.createDataFrame([], "doc_id long, item_id long, share double, answer_share double")

@@ -86,6 +86,7 @@ def fit(docs, per_language=PER_LANGUAGE):
     """The model of the languages in ``docs`` (doc_id, text, lang): a bounded sample
     of about ``per_language`` rows each, of rows with a letter and a lang. Two jobs
     run here; the driver receives the sample's sparse vectors."""
+    text.small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sample = per_class(rows, "lang", "doc_id", per_language).select("lang", "text")
     found = sorted(tuple(r) for r in sample.mapInArrow(_sparse, "lang string, at binary, count binary").collect())
@@ -138,6 +139,7 @@ def predict(docs, model, keep=("doc_id",)):
     row of ``docs``. A null text, one without a letter, and every text where no
     language was learned are ``und`` with score 0, and rejected. Ties go to the
     language that comes first by name. Only the text decides."""
+    text.small_batches(docs.sparkSession)
     kept = [F.col(c) for c in keep]
     rows = docs.select(F.lit(0).alias("pad"), F.col("text").alias("of"), F.col("text").rlike(r"\p{L}").alias("letters"), *kept)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)

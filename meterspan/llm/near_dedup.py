@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from meterspan.llm import text
+from meterspan.llm.samples import sized
 from meterspan.session import written
 
 TOKENS = 64
@@ -26,6 +27,7 @@ SMALL = 12
 LEVELS = 6
 SIMILARITY = 75
 #: Of 64 minwise tokens, pairs of similarity 0.75 share fewer with probability 2e-7.
+#: The sketch has the last byte of each, which other texts share by chance once in 256.
 SHARED = 29
 
 _rng = np.random.default_rng(11)
@@ -62,8 +64,11 @@ def _sign(batches):
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(sets) + 1) * TOKENS, pa.int32()), pa.array(tokens.ravel())
                     ),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(sets) + 1) * TOKENS, pa.int32()), pa.array(tokens.astype(np.int8).ravel())
+                    ),
                 ],
-                ["doc_id", "n_shingles", "class", "tokens"],
+                ["doc_id", "n_shingles", "class", "tokens", "sketch"],
             )
 
 
@@ -87,7 +92,6 @@ def _branch(tree, level, tokens):
 def candidates(classes):
     """Pairs of classes (a < b) that meet in a node of some tree. ``classes`` has
     ``class`` and ``tokens``. Runs one job per level."""
-    spark = classes.sparkSession
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rows = classes.select("class", "tokens", tree).select(
         "class", "tree", F.xxhash64("tree", _branch(F.col("tree"), 0, F.col("tokens"))).alias("node")
@@ -112,7 +116,7 @@ def candidates(classes):
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.distinct(), spark
+    return out.distinct()
 
 
 def _pairs_with(pairs, table, *columns):
@@ -151,32 +155,32 @@ def near_duplicates(docs, similarity=SIMILARITY):
     empty, white space) is linked with nothing and kept. Repeated rows share a
     class; rows of the same doc_id as the smallest are all kept. A null doc_id is
     larger than any other; it is kept where nothing smaller is reached."""
-    spark = docs.sparkSession
+    text.small_batches(docs.sparkSession)
     slim = docs.select("doc_id", "text")
     signed = written(
-        slim.mapInArrow(_sign, "doc_id long, n_shingles long, class binary, tokens array<int>"), "near-dedup-signed"
+        slim.mapInArrow(_sign, "doc_id long, n_shingles long, class binary, tokens array<int>, sketch array<tinyint>"), "near-dedup-signed"
     )
     worded = signed.where("class is not null")
     classes = written(
         worded.groupBy("class").agg(
-            F.min("doc_id").alias("first"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens")
+            F.min("doc_id").alias("first"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")
         ),
         "near-dedup-classes",
     )
-    pairs, _ = candidates(classes)
+    pairs = candidates(classes)
     small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    shared = F.size(F.filter(F.zip_with("tokens_a", "tokens_b", lambda x, y: x == y), lambda x: x))
+    shared = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x))
     alike = (
-        _pairs_with(pairs, classes, "size", "tokens")
+        _pairs_with(written(pairs, "near-dedup-pairs"), classes, "size", "sketch")
         .where((100 * small >= similarity * large) & (shared >= SHARED))
         .select("a", "b", "size_a", "size_b")
     )
     alike = written(alike, "near-dedup-alike")
-    needed = alike.select(F.col("a").alias("class")).union(alike.select("b")).distinct()
-    owners = classes.join(needed, "class", "left_semi").select("first").distinct()
+    needed = written(alike.select(F.col("a").alias("class")).union(alike.select("b")).distinct(), "near-dedup-needed")
+    owners = sized(written(classes.join(needed, "class", "left_semi").select("first").distinct(), "near-dedup-owners"))
     texts = slim.join(owners, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select("text")
     sets = texts.mapInArrow(_sets, "class binary, set array<long>").where("class is not null")
-    sets = written(sets.join(needed, "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), "near-dedup-sets")
+    sets = written(sets.join(sized(needed), "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), "near-dedup-sets")
     both = F.size(F.array_intersect("set_a", "set_b"))
     edges = written(
         _pairs_with(alike, sets, "set")

@@ -46,6 +46,7 @@ def _count(batches):
 def ratios(docs, target_ids):
     """Log ratio of the target's to the raw model for every bucket, from all texts.
     ``target_ids`` (doc_id) is a bounded sample. The driver gets a row per bucket."""
+    text.small_batches(docs.sparkSession)
     flagged = docs.select("doc_id", "text").join(F.broadcast(target_ids.select("doc_id", F.lit(1).alias("target"))), "doc_id", "left")
     partial = flagged.select("text", "target").mapInArrow(_count, "bucket int, raw long, target long")
     sums = np.zeros((2, BUCKETS))

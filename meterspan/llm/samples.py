@@ -1,4 +1,4 @@
-"""Bounded samples of labelled rows, chosen by the hash of their keys."""
+"""Bounded samples of labelled rows, and broadcasts of a checked size."""
 
 from pyspark.sql import functions as F
 
@@ -15,3 +15,9 @@ def per_class(rows, label, key, size, most_classes=256):
         share = F.when(F.col(label) == F.lit(name), F.lit(min(SCALE, SCALE * size // n))).otherwise(share)
     chosen = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(SCALE)) < share
     return rows.where(chosen).limit(2 * size * max(1, len(counts)))
+
+
+def sized(table, rows=1_000_000):
+    """A written table of narrow rows, to be sent to every task if it has at most
+    ``rows`` of them; beyond that the join is left to shuffle. One count."""
+    return F.broadcast(table) if table.count() <= rows else table

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from meterspan.llm.samples import sized
 from meterspan.session import written
 
 # Kind, version, pattern, group whose length counts, least length.
@@ -95,7 +96,7 @@ def scan(versions, ledger, rules=RULES):
 def findings(versions, ledger, rules=RULES):
     """``scan`` joined back to all paths: ``versions`` with ``blob`` and ``spans``."""
     paths, hits = scan(versions, ledger, rules)
-    return paths.join(hits, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(_SPAN)))
+    return paths.join(sized(hits, 200_000), "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(_SPAN)))
 
 
 def joined(spans):

@@ -22,6 +22,13 @@ _VALUE[65:91] = _VALUE[97:123]
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def small_batches(spark, rows=1000):
+    """Hand texts to Python in batches of at most ``rows`` rows, in this session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def mix(x):
     """Bijective scrambling of 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

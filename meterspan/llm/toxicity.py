@@ -59,6 +59,7 @@ def fit(docs, labels, per_label=PER_LABEL, rounds=400, pull=1e-5):
     """Weights and thresholds from about ``per_label`` rows of either label (a
     bounded sample of the labelled rows, by the hash of doc_id). The driver receives
     the sample's word buckets. Rows without label or text words teach nothing."""
+    text.small_batches(docs.sparkSession)
     known = labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     ids = per_class(known, "toxic", "doc_id", per_label, 2)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("toxic", "text")
@@ -128,6 +129,7 @@ def _score(model):
 def score(docs, model):
     """doc_id, severity (expected grade, 0 to 3), grade, p_toxic and toxic for every
     row of ``docs``. A text without words (null, empty) has severity 0."""
+    text.small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
         _score(model), "doc_id long, severity double, grade int, p_toxic double, toxic boolean"
     )
