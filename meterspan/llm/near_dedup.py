@@ -99,7 +99,8 @@ def candidates(classes):
     found = []
     for level in range(1, LEVELS + 1):
         nodes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("leader"))
-        met = written(rows.join(nodes.where("members > 1"), "node"), "near-dedup-nodes")
+        nodes = written(nodes.where("members > 1"), "near-dedup-nodes")
+        met = written(rows.join(nodes, "node"), "near-dedup-met")
         small = met.where(F.col("members") <= SMALL)
         lists = small.groupBy("node").agg(F.array_sort(F.collect_set("class")).alias("m"))
         pairs = F.flatten(
