@@ -29,8 +29,10 @@ SURE = 0.8
 LIKELY = 0.7
 ANSWER = 6
 ANSWER_SHARE = 0.65
-#: Words in a larger share of all segments have no weight in the latent space.
+#: Words in a larger share of all segments have no weight in the latent space, but for
+#: the RARE rarest words of each benchmark passage.
 COMMON = 0.08
+RARE = 6
 BLOCK = 5_000
 
 
@@ -218,8 +220,12 @@ def _block(docs, items):
     seen = np.zeros(n + 1)
     for w, count in texts.mapInArrow(_spread(n), "word int, n long").groupBy("word").agg(F.sum("n")).collect():
         seen[w] = count
-    idf = np.log((seen[n] + 2) / (seen[:n] + 1)) ** 2 * (seen[:n] <= COMMON * (seen[n] + 2))
     patterns = [np.searchsorted(vocabulary, p) for p in lists]
+    weighs = seen[:n] <= COMMON * (seen[n] + 2)
+    for p in patterns:
+        own = np.unique(p)
+        weighs[own[np.argsort(seen[own], kind="stable")[:RARE]]] = True
+    idf = np.where(weighs, np.log((seen[n] + 2) / (seen[:n] + 1)) ** 2 + 1e-3, 0)
     tf = np.stack([np.bincount(p, minlength=n) for p in patterns]) * idf
     omega = np.random.default_rng(5).standard_normal((n, RANK))
     partial = texts.mapInArrow(_sketch(idf, omega), "word int, sums array<double>")
