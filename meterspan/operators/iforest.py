@@ -6,6 +6,8 @@ keys, which repeats on any partitioning. Trees are built one per group on the
 executors; their nodes (at most trees x 511 short rows) form the model that is
 sent to the scoring tasks."""
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Window
@@ -28,28 +30,23 @@ def mean_path(n):
 def tree_samples(df, columns, keys, trees, size, rows, seed):
     """``size`` rows per tree without replacement.
 
-    A row joins a tree when its hash for that tree is among the lowest. A coarse
-    hash bound first thins the candidates to about twice the sample, so only
-    those are ranked. On tables larger than all samples together, a single hash
-    per row deals it to one tree at most, and nothing is multiplied."""
+    A row has as many turns as the table needs to offer every tree about four
+    times its sample: one turn on a large table. In a turn a hash picks the tree
+    and another one decides whether the row is offered; a tree takes its lowest."""
     unit = F.lit(float(2**53))
 
     def uniform(*parts):
         return F.pmod(F.xxhash64(*parts), F.lit(2**53)) / unit
 
-    base = df.select(*keys, *columns).withColumn("_draw", uniform(*keys, F.lit(seed)))
-    wanted = trees * size
-    if rows > 4 * wanted:
-        dealt = base.filter(F.col("_draw") < 2.0 * wanted / rows).withColumn(
-            "tree", F.pmod(F.xxhash64(*keys, F.lit(seed + 1)), F.lit(trees)).cast("int")
-        )
-    else:
-        each = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-        dealt = (
-            base.withColumn("tree", each)
-            .withColumn("_draw", uniform(*keys, "tree", F.lit(seed)))
-            .filter(F.col("_draw") < 2.0 * size / rows)
-        )
+    offered = 4 * trees * size
+    turns = max(1, math.ceil(offered / rows)) if rows else 1
+    dealt = (
+        df.select(*keys, *columns, F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("_turn"))
+        .withColumn("_draw", uniform(*keys, "_turn", F.lit(seed)))
+        .filter(F.col("_draw") < offered / max(1, rows * turns))
+        .withColumn("tree", F.pmod(F.xxhash64(*keys, "_turn", F.lit(seed + 1)), F.lit(trees)).cast("int"))
+        .dropDuplicates([*keys, "tree"])
+    )
     lowest = Window.partitionBy("tree").orderBy("_draw", *keys)
     return (
         dealt.withColumn("_rank", F.row_number().over(lowest))

@@ -1,7 +1,6 @@
 """Forecast and usage-mode models, fitted with MLlib on the pooled series of all
 households. Only fitted parameters and one-row metrics come to the driver."""
 
-import math
 from functools import reduce
 
 from pyspark.ml import Pipeline
@@ -17,19 +16,15 @@ from meterspan import fixed
 from meterspan.operators.quantiles import exact_quantiles
 from meterspan.session import ensure_checkpoint_dir
 
+PARTITIONS = 8
 
-def partitions_for(rows):
-    """Partitions of a training table, from its row count alone: about 4,000 rows
-    each on small tables, for parallel work, and 50,000 on large ones."""
-    return max(1, min(math.ceil(rows / 4_000), 100), math.ceil(rows / 50_000))
 
-
-def stable_rows(df, order, partitions=None):
+def stable_rows(df, order, partitions=PARTITIONS):
     """The same rows in the same partitions and order on every run, so that a
-    seeded fit repeats on any cluster. Hash placement does not depend on sampling;
-    the number of partitions follows the row count unless it is given."""
-    count = partitions or partitions_for(df.count())
-    return df.repartition(count, *order).sortWithinPartitions(*order)
+    seeded fit repeats on any cluster. Hash placement does not depend on sampling.
+    The number of partitions decides what MLlib samples, so it is a parameter and
+    does not follow the data."""
+    return df.repartition(partitions, *order).sortWithinPartitions(*order)
 
 
 def assembler(columns, output="features"):
@@ -130,13 +125,13 @@ def top_importances(importances, column=None, n=15):
     )
 
 
-def training_rows(split, partitions=None, order=("household_id", "date")):
+def training_rows(split, partitions=PARTITIONS, order=("household_id", "date")):
     """Assembled training rows in a repeatable layout."""
     ready = assembler(fixed.DAILY_FEATURES).transform(split.filter("split = 'training'"))
     return stable_rows(ready.select(*order, "features", "energy_kwh"), order, partitions)
 
 
-def fit_daily_models(split, estimators, partitions=None, order=("household_id", "date")):
+def fit_daily_models(split, estimators, partitions=PARTITIONS, order=("household_id", "date")):
     """Fits the given regressors by name on the training rows, which are kept in
     memory for the many passes. Boosting cuts its lineage at checkpoints."""
     ensure_checkpoint_dir(split.sparkSession)

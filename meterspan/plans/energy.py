@@ -62,12 +62,12 @@ def hourly_energy(spark, folder):
 
 @query(
     "hour_profile",
-    f"""WITH {t.HOURLY} SELECT household_id, {small('hour(datetime) AS hour')},
+    f"""WITH {t.HOURLY_FEATURES} SELECT household_id, {small('hour(datetime) AS hour')},
   {r('avg(energy_kwh) AS avg_kwh', 'min(energy_kwh) AS min_kwh', 'max(energy_kwh) AS max_kwh')},
-  count(*) AS hour_count FROM hourly GROUP BY household_id, hour(datetime)""",
+  count(*) AS hour_count FROM hourly_features GROUP BY household_id, hour(datetime)""",
 )
 def hour_profile(spark, folder):
-    return report(rollup.hour_profile(hourly(spark, folder)))
+    return report(rollup.hour_profile(hourly_features(spark, folder)))
 
 
 @query(

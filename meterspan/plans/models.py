@@ -77,18 +77,21 @@ def prediction_band(spark, folder):
 
 @lru_cache(maxsize=4)
 def _fitted(application, folder, name):
-    """A model is fitted once per application and table folder, then served."""
+    """A model and the seconds of its fit: fitted once per application and table
+    folder, then served."""
     spark = SparkSession.getActiveSession()
     estimator = {
         "random_forest": models.daily_forest(TREES, DEPTH),
         "boosting": models.daily_boosting(ROUNDS),
     }[name]
     split = split_table(spark, folder, households=1)
-    return models.fit_daily_models(split, {name: estimator})[name]
+    start = time.perf_counter()
+    model = models.fit_daily_models(split, {name: estimator})[name]
+    return model, time.perf_counter() - start
 
 
 def fitted(spark, folder, names=("random_forest", "boosting")):
-    return {name: _fitted(spark.sparkContext.applicationId, folder, name) for name in names}
+    return {name: _fitted(spark.sparkContext.applicationId, folder, name)[0] for name in names}
 
 
 def predicted(spark, folder, names=("random_forest", "boosting")):
@@ -128,11 +131,13 @@ def hourly_prediction_sample(spark, folder):
 
 @query("daily_model_comparison")
 def daily_model_comparison(spark, folder):
-    start = time.time()
-    fitted(spark, folder)
-    seconds = time.time() - start
+    """Test metrics and the seconds of each model's own fit; the naive one has none."""
     metrics = models.regression_metrics(predicted(spark, folder), "actual_kwh", PREDICTIONS)
-    return metrics.withColumn("Training_Time", F.lit(seconds))
+    seconds = F.lit(0.0)
+    for name in ("random_forest", "boosting"):
+        own = _fitted(spark.sparkContext.applicationId, folder, name)[1]
+        seconds = F.when(F.col("Model") == f"{name}_kwh", F.lit(own)).otherwise(seconds)
+    return metrics.withColumn("Training_Time", seconds)
 
 
 @query("test_predictions")

@@ -31,8 +31,8 @@ def test_forest_beats_the_naive_prediction(split, fitted):
     assert set(table) == set(plans.PREDICTIONS)
 
 
-def test_partitions_follow_the_rows():
-    assert [models.partitions_for(n) for n in (0, 982, 34_000, 1_000_000, 10**9)] == [1, 1, 9, 100, 20_000]
+def test_partitions_do_not_follow_the_rows(spark):
+    assert {models.stable_rows(spark.range(n), ["id"]).rdd.getNumPartitions() for n in (0, 982, 34_000)} == {models.PARTITIONS}
 
 
 def test_metrics_match_numpy(spark):

@@ -60,3 +60,17 @@ def test_scored_stream(spark, tmp_path):
     flagged = {r.date for r in scored.filter("flagged").collect()}
     # The jump shows in the day's energy first and in its 7-day window after that.
     assert dates[396] in flagged and dates[390] not in flagged
+
+
+def test_a_second_batch_knows_the_days_of_the_first(spark, tmp_path):
+    dates = pd.date_range("2024-01-01", periods=30).date
+    days = spark.createDataFrame(pd.DataFrame({"household_id": 1, "date": dates, "energy_kwh": [float(i) for i in range(30)]}))
+    old = days.filter(F.col("date") < dates[10])
+    model = iforest.fit_isolation_forest(anomaly.with_recent_window(days.filter(F.col("date") >= dates[8]), old), trees=5)
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(days.schema).parquet(str(tmp_path / "in"))
+    for a, b in ((10, 18), (18, 30)):
+        days.filter((F.col("date") >= dates[a]) & (F.col("date") < dates[b])).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        anomaly.score_stream(stream, lambda: old, model, str(tmp_path / "out"), str(tmp_path / "log"))
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("date").collect()
+    assert [r.rolling_mean_7 for r in rows] == [float(i - 4) for i in range(10, 30)]
