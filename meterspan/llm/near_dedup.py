@@ -111,9 +111,13 @@ def candidates(classes):
         found.append(large.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")))
         if level == LEVELS or large.isEmpty():
             break
-        rows = large.join(classes.select("class", "tokens"), "class").select(
+        if level == 1:
+            # Later levels walk on with some of these classes.
+            deep = written(classes.join(large.select("class").distinct(), "class", "left_semi").select("class", "tokens"), "near-dedup-deep")
+        rows = large.join(deep, "class").select(
             "class", "tree", F.xxhash64("node", _branch(F.col("tree"), level, F.col("tokens"))).alias("node")
         )
+        rows = written(rows, "near-dedup-rows")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
