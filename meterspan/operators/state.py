@@ -66,23 +66,20 @@ def export_profiles(settings, appliances, scenarios, totals, keys=KEYS, part_siz
 
     A household is one document, part 0, unless its lists are longer than
     ``part_size``: then they are dealt to as many parts as needed, each carrying
-    the settings and totals, so that no task holds a list of any length."""
+    the settings and totals, so that no task holds a list of any length. Entries
+    keep their ``position``: sorted by it over all parts, they are the stored list."""
     keys = list(keys)
     by_part = [*keys, "part"]
 
     def listed(df, name, order):
         fields = [c for c in df.columns if c not in keys and c != order]
+        entry = F.struct(order, *fields)
         sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / part_size).alias("_parts"))
         return (
             df.join(sizes, keys)
             .withColumn("part", F.pmod(F.xxhash64(order), F.col("_parts")))
             .groupBy(*by_part)
-            .agg(
-                F.transform(
-                    F.array_sort(F.collect_list(F.struct(order, *fields))),
-                    lambda s: F.struct(*[s[c].alias(c) for c in fields]),
-                ).alias(name)
-            )
+            .agg(F.array_sort(F.collect_list(entry)).alias(name))
         )
 
     fields = [c for c in settings.columns if c not in keys]

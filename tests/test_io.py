@@ -139,7 +139,8 @@ def test_long_lists_are_split_into_parts(spark):
     parts = state.export_profiles(homes, lists, lists.limit(0), homes, part_size=10).collect()
     found = {}
     for p in parts:
-        found.setdefault(p.household_id, []).append([a.id for a in p.appliances or []])
+        found.setdefault(p.household_id, []).append([(a.position, a.id) for a in p.appliances or []])
     assert len(found[1]) > 1 and max(map(len, found[1])) < 25
-    assert sorted(sum(found[1], [])) == sorted(f"a{i}" for i in range(50))
-    assert found[2] == [["b"]]
+    assert all(part == sorted(part) for part in found[1])
+    assert sorted(sum(found[1], [])) == [(i, f"a{i}") for i in range(50)]
+    assert found[2] == [[(0, "b")]]
