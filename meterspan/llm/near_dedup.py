@@ -4,12 +4,15 @@ Texts with equal shingle sets form a class; classes are joined. In each of
 ``trees`` independent trees a class walks a path: at every level it branches by
 one selected minwise token of its set. Classes that share a node of at most
 ``small`` members are compared with each other. A larger node compares each
-member with one leader and branches again, so a group of any size costs a few
-rows per member, and its members are linked through leaders. Candidates are
-confirmed on full shingle sets; connected classes form a component.
+member with one leader and branches again, and its members are linked through
+leaders. Candidates are confirmed on full shingle sets; connected classes form a
+component. Leaders do not reach every link of a large group: classes of nodes still
+large at level ``EXACT`` form crowds, and in each crowd all classes that are not
+connected yet are compared on full sets, in blocks of bounded size.
 
 A pair of similarity s meets in a tree that branches d times with probability
-s^d; at 0.75 and two levels, 16 trees miss one pair in a million."""
+s^d; at 0.75 and two levels, 16 trees miss two pairs in a million. A pair that meets
+there is compared, in a small node or in its crowd."""
 
 import hashlib
 
@@ -25,6 +28,10 @@ TOKENS = 64
 TREES = 16
 SMALL = 12
 LEVELS = 6
+EXACT = 2
+#: Classes and shingles in a block of a crowd, about.
+CROWD_ROWS = 4096
+CROWD_SHINGLES = 1 << 20
 SIMILARITY = 75
 #: Of 64 minwise tokens, pairs of similarity 0.75 share fewer with probability 2e-7.
 #: The sketch has the last byte of each, which other texts share by chance once in 256.
@@ -90,13 +97,15 @@ def _branch(tree, level, tokens):
 
 
 def candidates(classes):
-    """Pairs of classes (a < b) that meet in a node of some tree. ``classes`` has
-    ``class`` and ``tokens``. Runs one job per level."""
+    """Pairs of classes (a < b) that meet in a small node of some tree or as leader and
+    member of a large one, and the pairs of the latter kind at level ``EXACT`` (None
+    without large nodes there). ``classes`` has ``class`` and ``tokens``. Runs one job
+    per level."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rows = classes.select("class", "tokens", tree).select(
         "class", "tree", F.xxhash64("tree", _branch(F.col("tree"), 0, F.col("tokens"))).alias("node")
     )
-    found = []
+    found, crowded = [], None
     for level in range(1, LEVELS + 1):
         nodes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("leader"))
         nodes = written(nodes.where("members > 1"), "near-dedup-nodes")
@@ -109,7 +118,11 @@ def candidates(classes):
         found.append(lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
         large = met.where(F.col("members") > SMALL)
         found.append(large.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")))
-        if level == LEVELS or large.isEmpty():
+        if large.isEmpty():
+            break
+        if level == EXACT:
+            crowded = found[-1]
+        if level == LEVELS:
             break
         if level == 1:
             # Later levels walk on with some of these classes.
@@ -121,7 +134,7 @@ def candidates(classes):
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.distinct()
+    return out.distinct(), crowded
 
 
 def _pairs_with(pairs, table, *columns):
@@ -150,6 +163,84 @@ def components(edges):
             return labels
 
 
+def _full_sets(slim, classes, needed, name):
+    """``class``, ``set`` for the classes in ``needed``, from one text of each."""
+    owners = sized(written(classes.join(needed, "class", "left_semi").select("first").distinct(), f"{name}-owners"))
+    texts = slim.join(owners, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select("text")
+    sets = texts.mapInArrow(_sets, "class binary, set array<long>").where("class is not null")
+    return written(sets.join(sized(needed), "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), f"{name}-sets")
+
+
+def _block_links(similarity):
+    """Links of one block between classes of different roots, but those that others of
+    the block imply: every class of the left side is compared with all of the right."""
+
+    def run(table):
+        left = np.array(table.column("left").to_pylist(), bool)
+        names = table.column("class").to_pylist()
+        root = np.unique(np.array([r.hex() for r in table.column("root").to_pylist()]), return_inverse=True)[1]
+        column = table.column("set").combine_chunks()
+        sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        word = np.unique(column.flatten().to_numpy(), return_inverse=True)[1]
+        ends = np.cumsum(sizes)
+        right = np.flatnonzero(~left)
+        a, b = [], []
+        if len(right):
+            words = word[np.repeat(~left, sizes)]
+            starts = np.concatenate(([0], np.cumsum(sizes[right])[:-1]))
+            mask = np.zeros(int(word.max()) + 1, np.int32)
+            for i in np.flatnonzero(left):
+                own = word[ends[i] - sizes[i] : ends[i]]
+                mask[own] = 1
+                both = np.add.reduceat(mask[words], starts)
+                mask[own] = 0
+                linked = right[100 * both >= similarity * (sizes[i] + sizes[right] - both)]
+                for j in linked[np.unique(root[linked], return_index=True)[1]]:
+                    if root[j] != root[i]:
+                        a.append(names[i])
+                        b.append(names[j])
+                        root[root == root[j]] = root[i]
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return run
+
+
+def crowd_links(slim, classes, crowded, edges, similarity):
+    """Links (a, b) that connect what ``edges`` leaves apart within each crowd, that is
+    among the classes that the pairs ``crowded`` connect. All classes outside a crowd's
+    commonest root are compared with all of the crowd, on full sets."""
+    crowds = components(crowded).withColumnRenamed("root", "crowd")
+    members = crowds.join(classes.select("class", "size"), "class").join(components(edges), "class", "left")
+    members = written(members.withColumn("root", F.coalesce("root", "class")), "near-dedup-crowds")
+    tally = members.groupBy("crowd", "root").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    tally = tally.groupBy("crowd").agg(
+        F.count("*").alias("roots"), F.max(F.struct("n", "w", "root")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w")
+    )
+
+    def blocks(n, w):
+        return F.greatest(F.ceil(n / CROWD_ROWS), F.ceil(w / CROWD_SHINGLES)).cast("int")
+
+    tally = tally.where("roots > 1").select(
+        "crowd",
+        F.col("most.root").alias("most"),
+        blocks(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w")).alias("lefts"),
+        blocks(F.col("n"), F.col("w")).alias("rights"),
+    )
+    members = written(members.join(tally, "crowd"), "near-dedup-apart")
+    sets = _full_sets(slim, classes, members.select("class"), "near-dedup-apart")
+
+    def dealt(blocks):
+        return F.pmod(F.xxhash64("class"), F.col(blocks).cast("long")).cast("int")
+
+    def each(blocks):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    left = members.where("root != most").select("crowd", "class", "root", F.lit(True).alias("left"), dealt("lefts").alias("i"), each("rights").alias("j"))
+    right = members.select("crowd", "class", "root", F.lit(False).alias("left"), each("lefts").alias("i"), dealt("rights").alias("j"))
+    rows = left.unionByName(right).join(sets, "class")
+    return written(rows.groupBy("crowd", "i", "j").applyInArrow(_block_links(similarity), "a binary, b binary"), "near-dedup-apart-edges")
+
+
 def near_duplicates(docs, similarity=SIMILARITY):
     """doc_id, n_shingles, class, component_id, kept for every row of ``docs``
     (doc_id, text; other columns are ignored).
@@ -172,7 +263,7 @@ def near_duplicates(docs, similarity=SIMILARITY):
         ),
         "near-dedup-classes",
     )
-    pairs = candidates(classes)
+    pairs, crowded = candidates(classes)
     small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     shared = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x))
     alike = (
@@ -182,10 +273,7 @@ def near_duplicates(docs, similarity=SIMILARITY):
     )
     alike = written(alike, "near-dedup-alike")
     needed = written(alike.select(F.col("a").alias("class")).union(alike.select("b")).distinct(), "near-dedup-needed")
-    owners = sized(written(classes.join(needed, "class", "left_semi").select("first").distinct(), "near-dedup-owners"))
-    texts = slim.join(owners, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets, "class binary, set array<long>").where("class is not null")
-    sets = written(sets.join(sized(needed), "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), "near-dedup-sets")
+    sets = _full_sets(slim, classes, needed, "near-dedup")
     both = F.size(F.array_intersect("set_a", "set_b"))
     edges = written(
         _pairs_with(alike, sets, "set")
@@ -193,6 +281,8 @@ def near_duplicates(docs, similarity=SIMILARITY):
         .select("a", "b"),
         "near-dedup-edges",
     )
+    if crowded is not None:
+        edges = edges.unionByName(crowd_links(slim, classes, crowded, edges, similarity))
     roots = classes.select("class", "first").join(components(edges), "class", "left").withColumn("root", F.coalesce("root", "class"))
     lowest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     roots = written(roots.join(lowest, "root").select("class", "component_id"), "near-dedup-roots")

@@ -112,6 +112,21 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert {got[i] for i in range(300)} == {0} and got[999] == 999
 
 
+def test_star_of_copies_that_are_linked_with_the_base_only(spark):
+    base, rng = [f"w{i}" for i in range(100)], random.Random(3)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        own, first, gap = list(base), rng.randrange(5, 85), rng.randrange(5, 30)
+        second = first + gap if first + gap < 95 else first - gap if first - gap >= 5 else 94 if first < 50 else 5
+        own[first], own[second] = f"x{i}", f"y{i}"
+        rows.append((i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame).collect()}
+    sets = [shingle_set(t) for _, t in rows]
+    assert all(100 * len(sets[0] & x) >= 75 * len(sets[0] | x) for x in sets)
+    assert {i for i, c in got.items() if c != 0} == set()
+
+
 def test_shards(docs, empty):
     rows = sharding.sharded(docs, shards=4).collect()
     source = sorted(((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in docs.collect()), key=repr)
