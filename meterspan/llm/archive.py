@@ -32,20 +32,26 @@ LINES = 500
 DIRECTORY = 100_000
 
 
+def _plain(key):
+    """``key`` without the signs that part lines and columns of a block."""
+    return key.replace("%", "%25").replace("\t", "%09").replace("\n", "%0A")
+
+
 def surt(url):
     """Sort key of a URL: host labels reversed, lower case, then port, path and query.
-    What cannot be parsed is its own key; null is the empty key."""
+    What cannot be parsed is its own key; null is the empty key. Tab, newline and the
+    percent sign are escaped in every key."""
     if url is None:
         return ""
     try:
         parts = urlsplit(url)
         host, port = parts.hostname or "", f":{parts.port}" if parts.port else ""
     except ValueError:
-        return url
+        return _plain(url)
     if not host:
-        return url
+        return _plain(url)
     query = f"?{parts.query}" if parts.query else ""
-    return f"{','.join(reversed(host.split('.')))}{port}){parts.path or '/'}{query}".replace("\n", "%0A")
+    return _plain(f"{','.join(reversed(host.split('.')))}{port}){parts.path or '/'}{query}")
 
 
 def _store(folder):

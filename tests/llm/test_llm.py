@@ -236,6 +236,14 @@ def test_archives(spark):
     assert archive.archived(pages.limit(0)).collect() == []
 
 
+def test_pages_with_malformed_urls_are_found(spark):
+    urls = ["a\tb", "a", "x\ny", "x", "x%0Ay", "\t\t7\t\n", "http://[bad\t1\n2", "http://[bad", "http://b:port\t/x", "http://a.example.com/%09", "\n", "%"]
+    rows = [(i, u, f"body {i}") for i, u in enumerate(urls)]
+    got = archive.archived(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in got) == [(i, b) for i, _, b in rows]
+    assert len({archive.surt(u) for u in urls}) == len(urls)
+
+
 def test_index_lookup_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(archive, "LINES", 7)
     rows = [(i, "http://hot.example.com/" if i % 3 == 0 else f"http://h{i % 11}.example.com/{i}", f"body {i}") for i in range(200)]
