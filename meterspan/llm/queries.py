@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from meterspan.llm import (
     archive,
     bpe,
+    conversations,
     decontaminate,
     language,
     near_dedup,
@@ -13,7 +14,9 @@ from meterspan.llm import (
     resampling,
     secrets,
     sharding,
+    simhash,
     toxicity,
+    whitening,
 )
 from meterspan.session import scratch_folder
 
@@ -103,6 +106,19 @@ def op10_byte_bpe(spark, folder):
     return rows.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_segment_popcount_simhash(spark, folder):
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op12_incremental_whitening(spark, folder):
+    rows = _table(spark, folder, "embeddings")
+    return whitening.whitened(rows, whitening.fit(rows))
+
+
+def op13_conversation_repair(spark, folder):
+    return conversations.repaired(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,6 +132,9 @@ QUERIES = {
         op8_nearest_centroids,
         op9_ordinal_toxicity,
         op10_byte_bpe,
+        op11_segment_popcount_simhash,
+        op12_incremental_whitening,
+        op13_conversation_repair,
     )
 }
 
