@@ -15,6 +15,7 @@ hashes of row keys and node numbers, and sums are of integers (fixed-point gradi
 so that any order of addition gives the same tree. Rows are never gathered; the driver
 holds the model, whose size is bounded by its parameters (trees x 2^(depth + 1))."""
 
+import io
 import json
 import math
 from functools import reduce
@@ -31,6 +32,8 @@ from meterspan.session import written
 BINS = 256
 #: Rows of the hash sample that quantile bins come from; tables up to this size are taken whole.
 SAMPLE = 1 << 16
+#: Rows of boosting that one task may hold.
+IN_TASK = 1 << 16
 #: Chances that a row is drawn more than 0, 1, 2, ... times, for a bag as large as the table.
 _POISSON = 1 - np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -190,6 +193,8 @@ def _cutting(rule):
 
 # --- models --------------------------------------------------------------------
 
+_PARTS = ("roots", "feature", "bin", "left", "threshold", "value", "gain", "weight")
+
 
 class TreeModel:
     """Trees as one array of nodes. A node with ``feature`` -1 is a leaf; else rows with a
@@ -240,6 +245,25 @@ class TreeModel:
             at = np.where(inner, self.left[at] + right, at)
         return at
 
+    def step(self, at, x):
+        """The nodes that rows at the nodes ``at`` go to, by bins."""
+        f = self.feature[at]
+        right = x[np.arange(len(at)), np.maximum(f, 0)] > self.bin[at]
+        return np.where(f >= 0, self.left[at] + right, at)
+
+    def to_bytes(self):
+        out = io.BytesIO()
+        np.savez(out, meta=json.dumps([self.columns, self.output, self.base, self.factor]), **{n: getattr(self, n) for n in _PARTS})
+        return out.getvalue()
+
+    @staticmethod
+    def from_bytes(data):
+        parts = np.load(io.BytesIO(data))
+        out = TreeModel(*json.loads(str(parts["meta"])))
+        for name in _PARTS:
+            setattr(out, name, parts[name])
+        return out
+
     def depth(self):
         level, depth = self.roots, 0
         while True:
@@ -437,85 +461,132 @@ def fit_forest(df, columns, label, keys, trees=400, depth=20, least_rows=2, per_
         binned.unpersist()
 
 
+class _Boosting:
+    """What all rounds of a fit share: the rules, the draws and the base."""
+
+    def __init__(self, columns, cuts, rule, base, depth, step, row_share, column_share, seed):
+        self.columns, self.cuts, self.rule, self.base = len(columns), cuts, rule, base
+        self.depth, self.step, self.row_share, self.seed = depth, step, row_share, seed
+        self.m = max(1, int(column_share * len(columns)))
+
+    def drawn(self, ids, number):
+        return draws(ids, np.array([number]), self.seed)[:, 0] < self.row_share
+
+    def cells(self, at, rest, x, units, number):
+        """Sums of the open ``units`` over rows that stand at the nodes ``at``."""
+        first = int(units[0])
+        is_open = np.zeros(int(units[-1]) - first + 1, bool)
+        is_open[units - first] = True
+        choice = np.tile(chosen_columns(np.array([number]), self.columns, self.m, self.seed + 1), (len(is_open), 1))
+        row = np.flatnonzero((at >= first) & (at < first + len(is_open)))
+        row = row[is_open[at[row] - first]]
+        g, one = -np.rint(rest[row] * self.rule["scale"]).astype(np.int64), np.ones(len(row), np.int64)
+        return cells_of(at[row], row, [g, one, one], x, choice, first)
+
+    def grow_tree(self, model, find):
+        """One more tree. ``find(level, units)`` returns the best cuts of the open units."""
+        root = model.grow(np.zeros(1), np.zeros(1))
+        model.roots = np.append(model.roots, np.int32(root))
+        units = np.array([root], np.int64)
+        for level in range(self.depth):
+            found = find(level, units)
+            cut = [x[found[3] > 0] for x in found]
+            nodes, h, _ = model.split(cut, self.cuts, self.rule)
+            units = nodes[h >= 2 * self.rule["least_weight"]]
+            if not len(units):
+                break
+
+
+_ROUND = "id long, label double, bins binary, model binary"
+
+
+def _task_rounds(shared, model, rounds):
+    """Several rounds over the rows of one task, which are all rows."""
+
+    def run(batches):
+        parts = [_arrays(b) for b in batches]
+        ids, rest, x = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        for _ in range(rounds):
+            number, at = len(model.roots), None
+            drawn = shared.drawn(ids, number)
+            some, left = x[drawn], rest[drawn]
+
+            def find(level, units):
+                nonlocal at
+                at = model.places(some, model.roots[number:], 0, True)[:, 0] if level == 0 else model.step(at, some)
+                return best_cuts(*shared.cells(at, left, some, units, number), shared.rule)
+
+            shared.grow_tree(model, find)
+            end = model.places(x, model.roots[number:], shared.depth, True)[:, 0]
+            rest = rest - shared.step * model.value[end]
+        binary = pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())
+        yield _round_batch(pa.array(ids), pa.array(rest), binary, pa.nulls(len(ids), pa.binary()))
+        yield _round_batch(pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.nulls(1, pa.binary()), pa.array([model.to_bytes()]))
+
+    return run
+
+
+def _round_batch(*columns):
+    return pa.RecordBatch.from_arrays(list(columns), ["id", "label", "bins", "model"])
+
+
 def fit_boosting(
     df, columns, label, keys, rounds=700, depth=6, step=0.03, least_weight=3, row_share=0.8, column_share=0.8,
-    l1=0.05, l2=1.0, seed=42, bins=BINS, output="prediction", keep=32,
+    l1=0.05, l2=1.0, seed=42, bins=BINS, output="prediction", keep=100, in_task=IN_TASK,
 ):
     """Second-order boosting of squared errors: each tree is grown on the gradients of a
     draw of rows (by a hash of key and round) and of columns, its leaves are shrunk by
-    ``l1`` and ``l2`` and added ``step`` times. The margins of the rows are written every
-    ``keep`` rounds; trees since then are evaluated in the pass itself. The base is the
-    mean label. An empty table gives a model that predicts 0."""
+    ``l1`` and ``l2`` and added ``step`` times. The base is the mean label. An empty table
+    gives a model that predicts 0.
+
+    A level of a tree is one pass over all rows, and every ``keep`` rounds what the trees have
+    left of the labels is written, so that a lost executor costs few rounds. Up to
+    ``in_task`` rows (a byte per feature each) are held by one task, which takes those
+    rounds without a job for every level; the trees are the same."""
     binned, n, cuts = binned_rows(df, columns, label, keys, bins)
-    binned = binned.select("id", "label", "bins").persist()
+    binned = written(binned, "boosting-rows")
     base, low, high = binned.agg(F.avg("label"), F.min("label"), F.max("label")).first()
     rule = {"l1": l1, "l2": l2, "least_rows": 1, "least_weight": least_weight, "least_gain": 1e-9}
     rule["scale"] = _fixed_scale(n, 8 * ((high - low) if n else 1.0))
     base = round((base or 0.0) * rule["scale"]) / rule["scale"]
     model = TreeModel(columns, output, base, step)
-    m = max(1, int(column_share * len(columns)))
-    held, since = binned, 0  # rows whose labels are less the margin of the first ``since`` trees
+    shared = _Boosting(columns, cuts, rule, base, depth, step, row_share, column_share, seed)
+    held = binned.select("id", (F.col("label") - F.lit(base)).alias("label"), "bins")
+    if not n:
+        return model
+    if n <= in_task:
+        while len(model.roots) < rounds:
+            ahead = min(keep, rounds - len(model.roots))
+            done = written(held.repartition(1).mapInArrow(_task_rounds(shared, model, ahead), _ROUND), "boosting-rounds")
+            model = TreeModel.from_bytes(done.where("model is not null").first()["model"])
+            held = done.where("model is null").select("id", "label", "bins")
+        return model
+    since = 0  # ``held`` has what this many trees leave
 
-    def gradients(ids, rest, x, trees):
-        """Rest of the label after the trees from ``since`` on."""
-        if len(trees):
-            at = model.places(x, trees, depth, by_bin=True)
-            rest = rest - step * model.value[at].sum(1)
-        return rest
+    def left_after(rest, x, trees):
+        return rest - step * model.value[model.places(x, trees, depth, True)].sum(1) if len(trees) else rest
 
     def folded(batches):
         for batch in batches:
-            ids, rest, x = _arrays(batch)
+            _, rest, x = _arrays(batch)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(gradients(ids, rest, x, model.roots[since:])), batch.column(2)], ["id", "label", "bins"]
+                [batch.column(0), pa.array(left_after(rest, x, model.roots[since:])), batch.column(2)], ["id", "label", "bins"]
             )
 
-    def tally(model, units, level):
-        first, number = int(units[0]), len(model.roots) - 1
-        is_open = np.zeros(int(units[-1]) - first + 1, bool)
-        is_open[units - first] = True
-        columns_now = chosen_columns(np.array([number]), len(columns), m, seed + 1)
-        choice = np.tile(columns_now, (len(is_open), 1))
-        done, root = model.roots[since:number], model.roots[number:]
-
+    def tally(level, units, number):
         def run(batches):
-            parts = []
             for batch in batches:
                 ids, rest, x = _arrays(batch)
-                drawn = draws(ids, np.array([number]), seed)[:, 0] < row_share
-                ids, rest, x = ids[drawn], rest[drawn], x[drawn]
-                rest = gradients(ids, rest - (base if since == 0 else 0.0), x, done)
-                at = model.places(x, root, level, by_bin=True)[:, 0]
-                row = np.flatnonzero((at >= first) & (at < first + len(is_open)))
-                row = row[is_open[at[row] - first]]
-                g = -np.rint(rest[row] * rule["scale"]).astype(np.int64)
-                one = np.ones(len(row), np.int64)
-                unit, cell, sums = cells_of(at[row], row, [g, one, one], x, choice, first)
-                parts.append((unit, cell, *sums))
-                if sum(len(p[0]) for p in parts) > 1 << 20:
-                    parts = [merged(parts)]
-            if parts:
-                unit, cell, *sums = merged(parts)
-                yield _cell_batch(unit, cell, sums)
-
-        def merged(parts):
-            unit, cell, *sums = (np.concatenate([p[k] for p in parts]) for k in range(5))
-            unit, cell, sums = _summed(unit, cell, sums)
-            return (unit, cell, *sums)
+                drawn = shared.drawn(ids, number)
+                x, rest = x[drawn], left_after(rest[drawn], x[drawn], model.roots[since:number])
+                at = model.places(x, model.roots[number:], level, True)[:, 0]
+                yield _cell_batch(*shared.cells(at, rest, x, units, number))
 
         return run
 
-    try:
-        for number in range(rounds if n else 0):
-            if number - since >= keep:
-                base_left = base if since == 0 else 0.0
-                less = held.withColumn("label", F.col("label") - F.lit(base_left)) if base_left else held
-                fresh = written(less.mapInArrow(folded, "id long, label double, bins binary"), f"boosting-{number}").persist()
-                held.unpersist()
-                held, since = fresh, number
-            root = model.grow(np.zeros(1), np.zeros(1))
-            model.roots = np.append(model.roots, np.int32(root))
-            _grown(held, model, cuts, rule, np.array([root], np.int64), tally, depth, _driver_cuts(rule))
-        return model
-    finally:
-        held.unpersist()
+    find_cuts = _driver_cuts(rule)
+    for number in range(rounds):
+        if number - since >= keep:
+            held, since = written(held.mapInArrow(folded, "id long, label double, bins binary"), "boosting-rest"), number
+        shared.grow_tree(model, lambda level, units, k=number: find_cuts(held.mapInArrow(tally(level, units, k), _CELLS)))
+    return model

@@ -75,6 +75,8 @@ def predicted(model, rows):
 
 def test_boosting_equals_a_direct_grower(spark, rows):
     model = trees.fit_boosting(rows, COLUMNS, "y", ["id"], rounds=6, depth=3, column_share=1.0, step=0.3, keep=4)
+    by_jobs = trees.fit_boosting(rows, COLUMNS, "y", ["id"], rounds=6, depth=3, column_share=1.0, step=0.3, keep=4, in_task=0)
+    assert by_jobs.value.tolist() == model.value.tolist()
     x, y = table(400, 1)
     rule = {"l1": 0.05, "l2": 1.0, "least_rows": 1, "least_weight": 3, "least_gain": 1e-9}
     ids, margin = ids_of(rows), np.full(400, model.base)
@@ -101,7 +103,7 @@ def test_forest_equals_a_direct_grower(spark, rows):
 
 @pytest.mark.parametrize("fit", [
     lambda rows: trees.fit_forest(rows, COLUMNS, "y", ["id"], trees=12, depth=8),
-    lambda rows: trees.fit_boosting(rows, COLUMNS, "y", ["id"], rounds=5, depth=4, keep=2),
+    lambda rows: trees.fit_boosting(rows, COLUMNS, "y", ["id"], rounds=5, depth=4, keep=2, in_task=0),
 ])
 def test_a_fit_does_not_depend_on_the_layout(spark, rows, fit):
     few, many = fit(rows.repartition(3)), fit(rows.repartition(17, F.rand(4)))
