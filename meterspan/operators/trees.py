@@ -59,7 +59,7 @@ def chosen_columns(units, columns, m, seed):
     """The ``m`` columns, in order, that every unit may split."""
     if m >= columns:
         return np.tile(np.arange(columns), (len(units), 1))
-    score = draws(np.arange(columns), units, seed).T
+    score = draws(np.arange(columns), np.asarray(units), seed).T
     return np.sort(np.argsort(score, 1, kind="stable")[:, :m], 1)
 
 
@@ -207,10 +207,12 @@ class TreeModel:
         self.feature, self.bin, self.left = np.zeros(0, np.int16), np.zeros(0, np.int16), np.zeros(0, np.int32)
         self.threshold, self.value = np.zeros(0), np.zeros(0)
         self.gain, self.weight = np.zeros(0), np.zeros(0)
+        self.name = np.zeros(0, np.uint64)  # of a node, by its tree and the way to it
 
-    def grow(self, values, weights):
+    def grow(self, values, weights, names=None):
         """New leaves; returns the number of the first."""
         first, n = len(self.feature), len(values)
+        self.name = np.concatenate([self.name, np.zeros(n, np.uint64) if names is None else names])
         self.feature = np.concatenate([self.feature, np.full(n, -1, np.int16)])
         self.bin = np.concatenate([self.bin, np.zeros(n, np.int16)])
         self.left = np.concatenate([self.left, np.zeros(n, np.int32)])
@@ -224,7 +226,8 @@ class TreeModel:
         unit, feature, place, gain, gl, hl, nl, g, h, n = cut
         pairs = lambda a, b: np.stack([a, b], 1).ravel()
         gs, hs, ns = pairs(gl, g - gl), pairs(hl, h - hl), pairs(nl, n - nl)
-        first = self.grow(leaf_value(gs, hs, rule), hs)
+        names = _mix(pairs(self.name[unit], self.name[unit] ^ _ODD))
+        first = self.grow(leaf_value(gs, hs, rule), hs, names)
         self.feature[unit], self.bin[unit] = feature, place
         self.left[unit] = first + 2 * np.arange(len(unit))
         self.gain[unit] = gain
@@ -262,8 +265,17 @@ class TreeModel:
         out = TreeModel(*json.loads(str(parts["meta"])))
         for name in _PARTS:
             setattr(out, name, parts[name])
+        out.name = np.zeros(len(out.feature), np.uint64)
         return out
 
+    def append(self, other):
+        """Adds the trees of another model."""
+        at = len(self.feature)
+        for name in _PARTS[1:]:
+            more = getattr(other, name) + (at if name == "left" else 0)
+            setattr(self, name, np.concatenate([getattr(self, name), more.astype(getattr(self, name).dtype)]))
+        self.roots = np.append(self.roots, other.roots + np.int32(at)).astype(np.int32)
+
     def depth(self):
         level, depth = self.roots, 0
         while True:
@@ -348,21 +360,6 @@ def _fixed_scale(n, top):
     return float(2 ** max(0, min(40, 60 - math.ceil(math.log2(max(n, 1) * max(top, 1e-9))))))
 
 
-def _grown(binned, model, cuts, rule, units, tally, depth, level_rows):
-    """Grows the open ``units`` of ``model`` level by level. ``tally(first, last)`` gives the
-    function that turns batches of binned rows into cells of the units from first to
-    last; ``level_rows`` says how the cells of a level become best cuts."""
-    for level in range(depth):
-        if not len(units):
-            break
-        found = level_rows(binned.mapInArrow(tally(model, units, level), _CELLS))
-        used = found[3] > 0
-        cut = [x[used] for x in found]
-        nodes, h, n = model.split(cut, cuts, rule)
-        open_ = (n >= 2 * rule["least_rows"]) & (h >= 2 * rule["least_weight"])
-        units = nodes[open_]
-
-
 _ORDER = ["unit", "feature", "bin", "gain", "gl", "hl", "nl", "g", "h", "n"]
 
 
@@ -413,52 +410,119 @@ def bags(ids, trees, seed):
     return np.searchsorted(-_POISSON, -draws(ids, trees, seed), "left").astype(np.int64)
 
 
-def fit_forest(df, columns, label, keys, trees=400, depth=20, least_rows=2, per_node=None, seed=42, bins=BINS, output="prediction"):
+class _Bagging:
+    """What all trees of a forest share."""
+
+    def __init__(self, columns, cuts, rule, base, depth, per_node, seed):
+        self.columns, self.cuts, self.rule, self.base = columns, cuts, rule, base
+        self.depth, self.seed = depth, seed
+        self.m = per_node or max(1, int(math.sqrt(len(columns))))
+
+    def roots(self, model, first, trees):
+        """Adds the roots of ``trees`` trees from number ``first`` on; returns them."""
+        numbers = np.arange(first, first + trees)
+        at = model.grow(np.zeros(trees), np.zeros(trees), _mix(numbers.astype(np.uint64) + np.uint64(1)))
+        model.roots = np.append(model.roots, np.arange(at, at + trees, dtype=np.int32))
+        return numbers
+
+    def fixed(self, y):
+        return -np.rint((y - self.base) * self.rule["scale"]).astype(np.int64)
+
+    def cells(self, model, at, weight, y, x, units):
+        """Sums of the open ``units``: ``at`` (rows x trees) has the nodes of the rows."""
+        first, last = int(units[0]), int(units[-1])
+        is_open = np.zeros(last - first + 1, bool)
+        is_open[units - first] = True
+        choice = chosen_columns(model.name[first : last + 1], len(self.columns), self.m, self.seed + 1)
+        live = (weight > 0) & (at >= first) & (at <= last)
+        live[live] = is_open[at[live] - first]
+        row, tree = np.nonzero(live)
+        w = weight[row, tree]
+        return cells_of(at[row, tree], row, [self.fixed(y)[row] * w, w, np.ones_like(w)], x, choice, first)
+
+    def open_units(self, nodes, n):
+        return nodes[n >= 2 * self.rule["least_rows"]]
+
+
+def _own_trees(shared, rows, group, output, trees):
+    """Trees that a task grows by itself, from rows that it holds."""
+
+    def run(batches):
+        ids, y, x = rows
+        for batch in batches:
+            for first in batch.column(0).to_pylist():
+                model = TreeModel(shared.columns, output, shared.base, 1.0)
+                numbers = shared.roots(model, first, min(group, trees - first))
+                weight = bags(ids, numbers, shared.seed)
+                at = np.tile(model.roots, (len(ids), 1)).astype(np.int64)
+                units = model.roots.astype(np.int64)
+                for _ in range(shared.depth):
+                    if not len(units):
+                        break
+                    cells = shared.cells(model, at, weight, y, x, units)
+                    if not len(cells[0]):
+                        break
+                    found = best_cuts(*cells, shared.rule)
+                    nodes, _, n = model.split([v[found[3] > 0] for v in found], shared.cuts, shared.rule)
+                    units = shared.open_units(nodes, n)
+                    for k in range(at.shape[1]):
+                        at[:, k] = model.step(at[:, k], x)
+                yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([model.to_bytes()])], ["first", "model"])
+
+    return run
+
+
+def fit_forest(
+    df, columns, label, keys, trees=400, depth=20, least_rows=2, per_node=None, seed=42, bins=BINS, output="prediction", in_task=IN_TASK
+):
     """A bagged forest: every tree sees every row as often as a hash of its key says
     (Poisson, mean 1), every node chooses among ``per_node`` columns (the root of their
     number, if not given). ``keys`` name a row; rows of equal keys share their draws.
-    An empty table gives a model that predicts 0."""
+    An empty table gives a model that predicts 0.
+
+    A level of all trees is one pass over the rows. A table of up to ``in_task`` rows (a
+    byte per feature each) is sent to the tasks instead, each of which grows some of the
+    trees; they are the same trees."""
     binned, n, cuts = binned_rows(df, columns, label, keys, bins)
-    binned = binned.persist()
-    try:
-        base, top = binned.agg(F.avg("label"), F.max(F.abs("label"))).first()
-        base = base or 0.0
-        rule = {"l1": 0.0, "l2": 0.0, "least_rows": least_rows, "least_weight": 0, "least_gain": 1e-9}
-        rule["scale"] = _fixed_scale(n, 32 * (top or 1.0))
-        base = round(base * rule["scale"]) / rule["scale"]
-        m = per_node or max(1, int(math.sqrt(len(columns))))
-        model = TreeModel(columns, output, base, 1.0 / trees)
-        model.grow(np.zeros(trees), np.full(trees, float(n)))
-        model.roots = np.arange(trees, dtype=np.int32)
-
-        def tally(model, units, level):
-            first, last = int(units[0]), int(units[-1])
-            is_open = np.zeros(last - first + 1, bool)
-            is_open[units - first] = True
-            choice = chosen_columns(np.arange(first, last + 1), len(columns), m, seed + 1)
-
-            def run(batches):
-                for batch in batches:
-                    ids, y, x = _arrays(batch)
-                    step = max(1, (1 << 21) // trees)
-                    for a in range(0, len(ids), step):
-                        part = slice(a, a + step)
-                        weight = bags(ids[part], model.roots, seed)
-                        at = model.places(x[part], model.roots, level, by_bin=True)
-                        live = (weight > 0) & (at >= first) & (at <= last)
-                        live[live] = is_open[at[live] - first]
-                        row, tree = np.nonzero(live)
-                        w = weight[row, tree]
-                        g = -np.rint((y[part] - base) * rule["scale"]).astype(np.int64)[row] * w
-                        yield _cell_batch(*cells_of(at[row, tree], row, [g, w, np.ones_like(w)], x[part], choice, first))
-
-            return run
-
-        units = model.roots.astype(np.int64) if n else np.zeros(0, np.int64)
-        _grown(binned, model, cuts, rule, units, tally, depth, _spread_cuts(rule))
+    binned = written(binned, "forest-rows")
+    base, top = binned.agg(F.avg("label"), F.max(F.abs("label"))).first()
+    rule = {"l1": 0.0, "l2": 0.0, "least_rows": least_rows, "least_weight": 0, "least_gain": 1e-9}
+    rule["scale"] = _fixed_scale(n, 32 * (top or 1.0))
+    base = round((base or 0.0) * rule["scale"]) / rule["scale"]
+    shared = _Bagging(list(columns), cuts, rule, base, depth, per_node, seed)
+    model = TreeModel(columns, output, base, 1.0 / trees)
+    if n <= in_task:
+        spark = df.sparkSession
+        table = binned.toArrow().sort_by("id").combine_chunks()
+        rows = _arrays(table.to_batches()[0]) if n else (np.zeros(0, np.int64), np.zeros(0), np.zeros((0, len(columns)), np.uint8))
+        group = max(1, min(16, (1 << 22) // max(n, 1)))
+        starts = spark.range(0, trees, group, -(-trees // group))
+        grown = starts.mapInArrow(_own_trees(shared, rows, group, output, trees), "first long, model binary").toArrow().to_pylist()
+        for part in sorted(grown, key=lambda r: r["first"]):
+            model.append(TreeModel.from_bytes(part["model"]))
         return model
-    finally:
-        binned.unpersist()
+    numbers = shared.roots(model, 0, trees)
+
+    def tally(units, level):
+        def run(batches):
+            for batch in batches:
+                ids, y, x = _arrays(batch)
+                step = max(1, (1 << 21) // trees)
+                for a in range(0, len(ids), step):
+                    part = slice(a, a + step)
+                    at = model.places(x[part], model.roots, level, by_bin=True)
+                    yield _cell_batch(*shared.cells(model, at, bags(ids[part], numbers, seed), y[part], x[part], units))
+
+        return run
+
+    units, spread = model.roots.astype(np.int64), _spread_cuts(rule)
+    for level in range(depth):
+        found = spread(binned.mapInArrow(tally(units, level), _CELLS))
+        nodes, _, rows = model.split([x[found[3] > 0] for x in found], cuts, rule)
+        units = shared.open_units(nodes, rows)
+        if not len(units):
+            break
+    return model
 
 
 class _Boosting:

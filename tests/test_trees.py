@@ -92,6 +92,9 @@ def test_forest_equals_a_direct_grower(spark, rows):
     model = trees.fit_forest(rows, COLUMNS, "y", ["id"], trees=5, depth=6, per_node=4)
     x, y = table(400, 1)
     rule = {"l1": 0.0, "l2": 0.0, "least_rows": 2, "least_weight": 0, "least_gain": 1e-9}
+    by_passes = trees.fit_forest(rows, COLUMNS, "y", ["id"], trees=5, depth=6, per_node=2, in_task=0)
+    by_tasks = trees.fit_forest(rows, COLUMNS, "y", ["id"], trees=5, depth=6, per_node=2)
+    assert predicted(by_passes, rows).tolist() == predicted(by_tasks, rows).tolist() and len(by_passes.feature) == len(by_tasks.feature)
     bags = trees.bags(ids_of(rows), np.arange(5), 42)
     assert bags.mean() == pytest.approx(1, abs=0.1) and bags.var() == pytest.approx(1, abs=0.2)
     every = []
@@ -102,7 +105,7 @@ def test_forest_equals_a_direct_grower(spark, rows):
 
 
 @pytest.mark.parametrize("fit", [
-    lambda rows: trees.fit_forest(rows, COLUMNS, "y", ["id"], trees=12, depth=8),
+    lambda rows: trees.fit_forest(rows, COLUMNS, "y", ["id"], trees=12, depth=8, in_task=0),
     lambda rows: trees.fit_boosting(rows, COLUMNS, "y", ["id"], rounds=5, depth=4, keep=2, in_task=0),
 ])
 def test_a_fit_does_not_depend_on_the_layout(spark, rows, fit):
