@@ -6,7 +6,6 @@ records older than those stay as recorded. They reach the features only through
 the exponentially weighted means, so a request needs just the weighted sums of
 its household at the 31st record back, not the history itself."""
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -213,9 +212,7 @@ def roll_forward(planned, model, mae, prediction="random_forest_kwh"):
     for i in range(longest):
         step = F.get("steps", F.lit(i))
         features = context_features(F.col("_context"), step["target_date"], lambda n, s=step: s[n])
-        vector = array_to_vector(
-            F.array(*[F.coalesce(features[c].cast("double"), F.lit(0.0)) for c in fixed.DAILY_FEATURES])
-        )
+        vector = F.array(*[F.coalesce(features[c].cast("double"), F.lit(0.0)) for c in fixed.DAILY_FEATURES])
         active = F.col("horizon_days") > i
         predicted = F.greatest(F.lit(0.0), F.col(prediction))
         runs = (

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meterspan import fixed
 from meterspan.operators.quantiles import exact_quantiles
+from meterspan.session import written
 
 NODE = "tree int, node int, left int, right int, feature int, threshold double, path double"
 
@@ -28,24 +29,26 @@ def mean_path(n):
 
 
 def tree_samples(df, columns, keys, trees, size, rows, seed):
-    """``size`` rows per tree without replacement.
+    """``size`` rows per tree without replacement; all rows if there are fewer.
 
-    A row has as many turns as the table needs to offer every tree about four
-    times its sample: one turn on a large table. In a turn a hash picks the tree
-    and another one decides whether the row is offered; a tree takes its lowest."""
+    A row has as many turns as the table needs to offer every tree about four times
+    its sample: one turn on a large table, a turn for each tree on a small one. A hash
+    of the key names the tree of the first turn and the others follow, so a tree is
+    offered a row once at most; another hash decides whether it is. A tree takes the
+    rows with the lowest hash."""
     unit = F.lit(float(2**53))
 
     def uniform(*parts):
         return F.pmod(F.xxhash64(*parts), F.lit(2**53)) / unit
 
     offered = 4 * trees * size
-    turns = max(1, math.ceil(offered / rows)) if rows else 1
+    turns = min(trees, max(1, math.ceil(offered / rows))) if rows else 1
+    first = F.pmod(F.xxhash64(*keys, F.lit(seed + 1)), F.lit(trees))
     dealt = (
         df.select(*keys, *columns, F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("_turn"))
         .withColumn("_draw", uniform(*keys, "_turn", F.lit(seed)))
         .filter(F.col("_draw") < offered / max(1, rows * turns))
-        .withColumn("tree", F.pmod(F.xxhash64(*keys, "_turn", F.lit(seed + 1)), F.lit(trees)).cast("int"))
-        .dropDuplicates([*keys, "tree"])
+        .withColumn("tree", F.pmod(first + F.col("_turn"), F.lit(trees)).cast("int"))
     )
     lowest = Window.partitionBy("tree").orderBy("_draw", *keys)
     return (
@@ -86,16 +89,29 @@ def _grow(sample, columns, seed):
 class IsolationForestModel:
     """Fitted trees with the score offset that flags the wanted share of rows."""
 
-    def __init__(self, spark, nodes, size, columns, trees):
+    def __init__(self, spark, nodes, size, columns, trees, offset=None):
         width = int(nodes["node"].max()) + 1
         parts = {}
         for name in ("left", "right", "feature", "threshold", "path"):
             grid = np.zeros((trees, width), dtype=float if name in ("threshold", "path") else np.int32)
             grid[nodes["tree"], nodes["node"]] = nodes[name]
             parts[name] = grid
-        self.columns, self.size, self.trees, self.offset = list(columns), size, trees, None
+        self.columns, self.size, self.trees, self.offset = list(columns), size, trees, offset
+        self.nodes = nodes
         self._shared = spark.sparkContext.broadcast(parts)
 
+    def save(self, spark, path):
+        """Nodes, columns, sizes and offset as tables below ``path``, for other sessions."""
+        spark.createDataFrame(self.nodes, NODE).write.mode("overwrite").parquet(f"{path}/nodes")
+        row = (self.columns, int(self.size), int(self.trees), self.offset)
+        spark.createDataFrame([row], "columns array<string>, size int, trees int, offset double").write.mode("overwrite").parquet(f"{path}/meta")
+
+    @staticmethod
+    def load(spark, path):
+        meta = spark.read.parquet(f"{path}/meta").first()
+        nodes = spark.read.parquet(f"{path}/nodes").toPandas()
+        return IsolationForestModel(spark, nodes, meta["size"], meta["columns"], meta["trees"], meta["offset"])
+
     def raw_score(self):
         """Column: minus the anomaly score, so lower means more isolated."""
         shared, scale, trees = self._shared, float(mean_path(self.size)), self.trees
@@ -152,6 +168,6 @@ def fit_isolation_forest(
         .toPandas()
     )
     model = IsolationForestModel(spark, nodes, size, columns, trees)
-    scores = complete.select(model.raw_score().alias("_score"))
+    scores = written(complete.select(model.raw_score().alias("_score")), "forest-scores")
     model.offset = exact_quantiles(scores, "_score", [contamination]).first()["q0"]
     return model

@@ -1,20 +1,17 @@
-"""Forecast and usage-mode models, fitted with MLlib on the pooled series of all
-households. Only fitted parameters and one-row metrics come to the driver."""
+"""Forecast and usage-mode models, fitted on the pooled series of all households. Only fitted parameters and one-row metrics come to the driver."""
 
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterspan import fixed
+from meterspan.operators.clusters import ANCHORS, KMeansModel, fit_kmeans, silhouettes
 from meterspan.operators.quantiles import exact_quantiles
-from meterspan.session import ensure_checkpoint_dir
+from meterspan.operators.trees import fit_boosting, fit_forest
 
 PARTITIONS = 8
 
@@ -44,34 +41,25 @@ def hourly_forest(trees=50, depth=8, seed=42):
     return Pipeline(stages=[assembler(fixed.HOURLY_FEATURES), forest])
 
 
-def daily_forest(trees=400, depth=20, seed=42, memory_mb=1024, column="random_forest_kwh"):
-    """Next-day regressor over the 26 daily features."""
-    return RandomForestRegressor(
-        featuresCol="features",
-        labelCol="energy_kwh",
-        predictionCol=column,
-        numTrees=trees,
-        maxDepth=depth,
-        minInstancesPerNode=2,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-        maxMemoryInMB=memory_mb,
-    )
+class TreeEstimator:
+    """A regressor over feature columns with the sizes of its fit, kept for ``fit``."""
+
+    def __init__(self, grow, output, **sizes):
+        self.grow, self.output, self.sizes = grow, output, sizes
+
+    def fit(self, rows, keys=("household_id", "date")):
+        return self.grow(rows, fixed.DAILY_FEATURES, "energy_kwh", list(keys), output=self.output, **self.sizes)
+
+
+def daily_forest(trees=400, depth=20, seed=42, column="random_forest_kwh"):
+    """Next-day regressor over the 26 daily features: bags and nodes as in ``trees``."""
+    return TreeEstimator(fit_forest, column, trees=trees, depth=depth, least_rows=2, seed=seed)
 
 
 def daily_boosting(rounds=700, depth=6, step=0.03, seed=42, column="boosting_kwh"):
-    """Gradient-boosted benchmark. L1 and L2 leaf penalties have no counterpart."""
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol="energy_kwh",
-        predictionCol=column,
-        maxIter=rounds,
-        stepSize=step,
-        maxDepth=depth,
-        minInstancesPerNode=3,
-        subsamplingRate=0.8,
-        featureSubsetStrategy="0.8",
-        seed=seed,
+    """Second-order boosting with L1 and L2 leaf penalties."""
+    return TreeEstimator(
+        fit_boosting, column, rounds=rounds, depth=depth, step=step, least_weight=3, row_share=0.8, column_share=0.8, l1=0.05, l2=1.0, seed=seed
     )
 
 
@@ -100,8 +88,9 @@ def prediction_errors(predictions, actual, predicted):
 
 
 def feature_importances(spark, models, names):
-    """Impurity importances per feature, one column per model, summing to 1."""
-    columns = [model.featureImportances.toArray().tolist() for model in models.values()]
+    """Importances per feature, one column per model, summing to 1: the mean gain of a
+    feature's cuts for boosting, impurity for a forest."""
+    columns = [model.importances("gain" if "oosting" in label else "impurity").tolist() for label, model in models.items()]
     rows = [(name, *map(float, values)) for name, *values in zip(names, *columns)]
     layout = ", ".join(["feature string", *[f"{label} double" for label in models]])
     return spark.createDataFrame(rows, layout)
@@ -125,38 +114,23 @@ def top_importances(importances, column=None, n=15):
     )
 
 
-def training_rows(split, partitions=PARTITIONS, order=("household_id", "date")):
-    """Assembled training rows in a repeatable layout."""
-    ready = assembler(fixed.DAILY_FEATURES).transform(split.filter("split = 'training'"))
-    return stable_rows(ready.select(*order, "features", "energy_kwh"), order, partitions)
-
-
-def fit_daily_models(split, estimators, partitions=PARTITIONS, order=("household_id", "date")):
-    """Fits the given regressors by name on the training rows, which are kept in
-    memory for the many passes. Boosting cuts its lineage at checkpoints."""
-    ensure_checkpoint_dir(split.sparkSession)
-    train = training_rows(split, partitions, order).persist()
-    try:
-        return {name: estimator.fit(train) for name, estimator in estimators.items()}
-    finally:
-        train.unpersist()
+def fit_daily_models(split, estimators, keys=("household_id", "date")):
+    """Fits the given regressors by name on the training rows."""
+    train = split.filter("split = 'training'")
+    return {name: estimator.fit(train, keys) for name, estimator in estimators.items()}
 
 
 def predict_test(split, models, order=("household_id", "date")):
     """Test rows with the naive prediction and one column per model."""
-    out = (
-        assembler(fixed.DAILY_FEATURES)
-        .transform(split.filter("split = 'test'"))
-        .select(
-            *order,
-            "features",
-            F.col("energy_kwh").alias("actual_kwh"),
-            F.col("lag_1").alias("naive_prediction_kwh"),
-        )
-    )
+    out = split.filter("split = 'test'")
     for model in models.values():
         out = model.transform(out)
-    return out.drop("features")
+    return out.select(
+        *order,
+        F.col("energy_kwh").alias("actual_kwh"),
+        F.col("lag_1").alias("naive_prediction_kwh"),
+        *[model.output for model in models.values()],
+    )
 
 
 # --- usage modes ---------------------------------------------------------------
@@ -169,33 +143,14 @@ def scaled_clusters(features, columns=tuple(fixed.CLUSTER_FEATURES)):
     return scaler.fit(raw).transform(raw).drop("_raw")
 
 
-def best_kmeans(scaled, k, restarts=20, seed=42):
-    """The fit with the lowest inertia out of several seeds."""
-    fits = [
-        KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed + i).fit(scaled)
-        for i in range(restarts)
-    ]
-    return min(fits, key=lambda model: model.summary.trainingCost)
-
-
-def search_clusters(spark, scaled, ks=range(2, 7), restarts=20, seed=42):
-    """Silhouette per k, the best k and its model.
-
-    The silhouette uses squared distances, whose means need no pairs of rows."""
-    scaled = scaled.persist()
-    try:
-        evaluator = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster")
-        tried = {}
-        for k in ks:
-            model = best_kmeans(scaled, k, restarts, seed)
-            tried[k] = (float(evaluator.evaluate(model.transform(scaled))), model)
-    finally:
-        scaled.unpersist()
-    best = max(tried, key=lambda k: tried[k][0])
-    scores = spark.createDataFrame(
-        [(k, score) for k, (score, _) in tried.items()], "K int, Silhouette_Score double"
-    )
-    return scores, best, tried[best][1]
+def search_clusters(spark, scaled, ks=range(2, 7), restarts=20, seed=42, keys=("household_id", "date"), anchors=ANCHORS):
+    """Silhouette per k, the best k and its model: the best of the restarts for every k,
+    found in the same passes; silhouettes are of plain distances."""
+    found = fit_kmeans(scaled, ks, restarts, seed, keys=keys)
+    values = silhouettes(scaled, {k: c for k, (c, _) in found.items()}, keys=keys, anchors=anchors)
+    best = max(values, key=lambda k: (values[k], -k))
+    scores = spark.createDataFrame([(k, v) for k, v in values.items()], "K int, Silhouette_Score double")
+    return scores, best, KMeansModel(found[best][0])
 
 
 def cluster_summary(labelled, value="energy_kwh"):
@@ -249,8 +204,3 @@ def stored_summary_gaps(stored, computed, tolerance=1e-6):
         [F.abs(F.col(f"s.{a}") - F.col(f"c.{b}")) > tolerance for a, b in pairs.items()],
     )
     return both.filter(off).select("c.cluster_id")
-
-
-def vector_text(column="features"):
-    """Vector column as an array, for sinks that know no vectors."""
-    return vector_to_array(column)

@@ -24,8 +24,8 @@ from operator import and_
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterspan.session import written
 
@@ -207,8 +207,12 @@ class TreeModel:
         self.feature, self.bin, self.left = np.zeros(0, np.int16), np.zeros(0, np.int16), np.zeros(0, np.int32)
         self.threshold, self.value = np.zeros(0), np.zeros(0)
         self.gain, self.weight = np.zeros(0), np.zeros(0)
+        self._sent = None
         self.name = np.zeros(0, np.uint64)  # of a node, by its tree and the way to it
 
+    def __getstate__(self):
+        return {**self.__dict__, "_sent": None}
+
     def grow(self, values, weights, names=None):
         """New leaves; returns the number of the first."""
         first, n = len(self.feature), len(values)
@@ -294,20 +298,24 @@ class TreeModel:
 
     def transform(self, df):
         """``df`` with the prediction, from the feature columns or, where they are not
-        there, from the vector ``features``; null where a feature is null."""
-        model = self
-
-        @F.pandas_udf("double")
-        def predicted(features: pd.Series) -> pd.Series:
-            x = np.array([[np.nan if v is None else v for v in row] for row in features], float).reshape(-1, len(model.columns))
-            y = pd.Series(model.predict(x))
-            return y.astype(object).where(~np.isnan(x).any(1), None)
+        there, from the array ``features``; null where a feature is null. A plan node of
+        its own, so that steps that follow each other do not grow into one expression."""
+        if self._sent is None:
+            self._sent = df.sparkSession.sparkContext.broadcast(self)
+        shared = self._sent
 
-        if set(self.columns) <= set(df.columns):
-            features = F.array(*[F.col(c).cast("double") for c in self.columns])
-        else:
-            features = vector_to_array("features")
-        return df.withColumn(self.output, predicted(features))
+        def run(batches):
+            model = shared.value
+            for batch in batches:
+                flat = batch.column(batch.num_columns - 1).flatten().fill_null(np.nan)
+                x = flat.to_numpy(zero_copy_only=False).reshape(-1, len(model.columns))
+                y = pa.array(model.predict(x), mask=np.isnan(x).any(1))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], y], [*batch.schema.names[:-1], model.output])
+
+        here = set(self.columns) <= set(df.columns)
+        features = F.array(*[F.col(c).cast("double") for c in self.columns]) if here else F.col("features")
+        schema = T.StructType([*df.schema.fields, T.StructField(self.output, T.DoubleType())])
+        return df.withColumn("_x", features).mapInArrow(run, schema)
 
     def importances(self, kind):
         """Share of every feature, summing to 1: ``impurity``, the mean over trees of the

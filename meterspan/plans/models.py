@@ -1,9 +1,10 @@
-"""Model fits and forecasts. Sizes are parameters of the operators, whose defaults
-are the published ones; the values here keep a run short on one machine."""
+"""Model fits and forecasts at the published sizes. A model is fitted once per application
+and table folder and saved in the shared folder, from which every query loads it."""
 
 import time
 from functools import lru_cache
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,12 @@ from meterspan.plans.energy import SPLIT_DATE, hourly_features
 from meterspan.plans.registry import query, r, report
 from meterspan.plans.series import PLAIN, split_table
 from meterspan.plans.statistics import histogram_sql
+from meterspan.operators.trees import TreeModel
 from meterspan.plans.vectors import requests
+from meterspan.session import scratch_folder
 from meterspan.sources import tables as t
 
-TREES, DEPTH, ROUNDS = 50, 8, 20
-RESTARTS = 2
+HORIZON = 30
 
 _TEST = f"""{PLAIN}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY date) AS i,
@@ -75,23 +77,35 @@ def prediction_band(spark, folder):
     return report(banded.select("household_id", "date", *[c.alias(n) for n, c in band.items()]))
 
 
-@lru_cache(maxsize=4)
-def _fitted(application, folder, name):
-    """A model and the seconds of its fit: fitted once per application and table
-    folder, then served."""
+@lru_cache(maxsize=16)
+def _saved(application, folder, name):
+    """Where a fitted model is, and the seconds of its fit."""
     spark = SparkSession.getActiveSession()
-    estimator = {
-        "random_forest": models.daily_forest(TREES, DEPTH),
-        "boosting": models.daily_boosting(ROUNDS),
-    }[name]
-    split = split_table(spark, folder, households=1)
+    path = scratch_folder(spark, f"model-{name}")
+    if name == "hourly":
+        train, _ = features.date_split(hourly_features(spark, folder), SPLIT_DATE)
+        rows, build = models.stable_rows(train, ["household_id", "datetime"]), models.hourly_forest().fit
+    elif name == "isolation":
+        rows, build = forest_rows(spark, folder), iforest.fit_isolation_forest
+    else:
+        estimator = {"random_forest": models.daily_forest, "boosting": models.daily_boosting}[name]()
+        rows, build = split_table(spark, folder, households=1).filter("split = 'training'"), estimator.fit
     start = time.perf_counter()
-    model = models.fit_daily_models(split, {name: estimator})[name]
-    return model, time.perf_counter() - start
+    model = build(rows)
+    seconds = time.perf_counter() - start
+    if name == "hourly":
+        model.write().overwrite().save(path)
+    else:
+        model.save(spark, path)
+    return path, seconds
+
+
+def _path(spark, folder, name):
+    return _saved(spark.sparkContext.applicationId, folder, name)[0]
 
 
 def fitted(spark, folder, names=("random_forest", "boosting")):
-    return {name: _fitted(spark.sparkContext.applicationId, folder, name)[0] for name in names}
+    return {name: TreeModel.load(spark, _path(spark, folder, name)) for name in names}
 
 
 def predicted(spark, folder, names=("random_forest", "boosting")):
@@ -101,31 +115,21 @@ def predicted(spark, folder, names=("random_forest", "boosting")):
 PREDICTIONS = ["naive_prediction_kwh", "random_forest_kwh", "boosting_kwh"]
 
 
+def hourly_predictions(spark, folder):
+    _, test = features.date_split(hourly_features(spark, folder), SPLIT_DATE)
+    return PipelineModel.load(_path(spark, folder, "hourly")).transform(test)
+
+
 @query("hourly_rf")
 def hourly_rf(spark, folder):
-    """Next-hour forest at its published size, with its test metrics."""
-    table = hourly_features(spark, folder).persist()
-    try:
-        train, test = features.date_split(table, SPLIT_DATE)
-        order = ["household_id", "datetime"]
-        model = models.hourly_forest().fit(models.stable_rows(train, order))
-        predictions = model.transform(test)
-        return spark.createDataFrame(
-            models.regression_metrics(predictions, "target_next_hour_kwh", ["prediction"]).collect(),
-            "Model string, MAE double, RMSE double, R2 double",
-        )
-    finally:
-        table.unpersist()
+    """Test metrics of the next-hour forest."""
+    return models.regression_metrics(hourly_predictions(spark, folder), "target_next_hour_kwh", ["prediction"])
 
 
 @query("hourly_prediction_sample")
 def hourly_prediction_sample(spark, folder):
     """The first 300 test hours with their predictions."""
-    train, test = features.date_split(hourly_features(spark, folder), SPLIT_DATE)
-    model = models.hourly_forest(trees=10, depth=5).fit(
-        models.stable_rows(train, ["household_id", "datetime"])
-    )
-    sample = model.transform(test).select("household_id", "datetime", "target_next_hour_kwh", "prediction")
+    sample = hourly_predictions(spark, folder).select("household_id", "datetime", "target_next_hour_kwh", "prediction")
     return report(sample.orderBy("household_id", "datetime").limit(300))
 
 
@@ -135,7 +139,7 @@ def daily_model_comparison(spark, folder):
     metrics = models.regression_metrics(predicted(spark, folder), "actual_kwh", PREDICTIONS)
     seconds = F.lit(0.0)
     for name in ("random_forest", "boosting"):
-        own = _fitted(spark.sparkContext.applicationId, folder, name)[1]
+        own = _saved(spark.sparkContext.applicationId, folder, name)[1]
         seconds = F.when(F.col("Model") == f"{name}_kwh", F.lit(own)).otherwise(seconds)
     return metrics.withColumn("Training_Time", seconds)
 
@@ -170,7 +174,7 @@ def scaled_days(spark, folder):
 def _clusters(application, folder):
     """Scores, best k and its model, searched once per application and folder."""
     spark = SparkSession.getActiveSession()
-    return models.search_clusters(spark, scaled_days(spark, folder), restarts=RESTARTS)
+    return models.search_clusters(spark, scaled_days(spark, folder))
 
 
 def clustered(spark, folder):
@@ -206,10 +210,13 @@ def cluster_statistics(spark, folder):
     return report(models.cluster_summary(t.daily(spark, folder).withColumn("cluster", weekend)))
 
 
-def forest_scores(spark, folder, trees=100):
-    table = features.complete_features(t.daily(spark, folder, households=1))
-    model = iforest.fit_isolation_forest(table, trees=trees)
-    return model.score(table.select("household_id", "date", *fixed.ANOMALY_FEATURES))
+def forest_rows(spark, folder):
+    return features.complete_features(t.daily(spark, folder, households=1))
+
+
+def forest_scores(spark, folder):
+    model = iforest.IsolationForestModel.load(spark, _path(spark, folder, "isolation"))
+    return model.score(forest_rows(spark, folder).select("household_id", "date", *fixed.ANOMALY_FEATURES))
 
 
 @query("isolation_forest")
@@ -238,9 +245,9 @@ def forecast_next_day(spark, folder):
 
 @query("forecast_horizon")
 def forecast_horizon(spark, folder):
-    return report(forecasts(spark, folder, 7), 3)
+    return report(forecasts(spark, folder, HORIZON), 3)
 
 
 @query("horizon_totals")
 def horizon_totals(spark, folder):
-    return report(forecast.horizon_totals(forecasts(spark, folder, 7)), 3)
+    return report(forecast.horizon_totals(forecasts(spark, folder, HORIZON)), 3)

@@ -45,7 +45,7 @@ def stream_anomaly(spark, folder):
     rolled = recorded.withColumns(
         features.rolling_columns(features.series_window(), widths=[7])
     )
-    model = iforest.fit_isolation_forest(rolled, trees=100)
+    model = iforest.fit_isolation_forest(rolled)
     days = spark.readStream.schema(daily.schema).parquet(f"{out}/days")
     score_stream(days, lambda: recorded, model, f"{out}/scored", f"{out}/log")
     return report(spark.read.parquet(f"{out}/scored").drop("batch"))

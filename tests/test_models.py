@@ -21,7 +21,7 @@ def split(daily):
 @pytest.fixture(scope="module")
 def fitted(split):
     estimators = {"forest": models.daily_forest(20, 6), "boosting": models.daily_boosting(8, 4)}
-    return models.fit_daily_models(split, estimators, partitions=4)
+    return models.fit_daily_models(split, estimators)
 
 
 def test_forest_beats_the_naive_prediction(split, fitted):
@@ -45,7 +45,7 @@ def test_metrics_match_numpy(spark):
 
 
 def test_importances_cover_all_features(spark, fitted):
-    named = {"A_Importance": fitted["forest"], "B_Importance": fitted["boosting"]}
+    named = {"A_Importance": fitted["forest"], "Boosting_Importance": fitted["boosting"]}
     table = models.feature_importances(spark, named, fixed.DAILY_FEATURES)
     for column in named:
         row = quality.importance_gaps(table, fixed.DAILY_FEATURES, column).first()
@@ -56,14 +56,9 @@ def test_importances_cover_all_features(spark, fitted):
 
 
 def test_a_fit_repeats_on_other_partitions(split, fitted):
-    again = models.fit_daily_models(
-        split.repartition(7), {"forest": models.daily_forest(20, 6)}, partitions=4
-    )
-
-    def trees(model):
-        return model.toDebugString.partition("\n")[2]  # the first line names the object
-
-    assert trees(again["forest"]) == trees(fitted["forest"])
+    again = models.fit_daily_models(split.repartition(7), {"forest": models.daily_forest(20, 6), "boosting": models.daily_boosting(8, 4)})
+    for name, model in again.items():
+        assert model.threshold.tolist() == fitted[name].threshold.tolist() and model.value.tolist() == fitted[name].value.tolist()
 
 
 def test_clusters(spark, daily):
@@ -125,6 +120,21 @@ def test_a_forest_repeats_on_other_partitions(daily):
     assert a.offset == b.offset
 
 
+def test_a_saved_forest_scores_alike(spark, daily, tmp_path):
+    model = iforest.fit_isolation_forest(daily, trees=10)
+    model.save(spark, str(tmp_path))
+    again = iforest.IsolationForestModel.load(spark, str(tmp_path))
+    scores = [[r[0] for r in m.score(daily).orderBy("date").select("anomaly_score").collect()] for m in (model, again)]
+    assert scores[0] == scores[1]
+
+
+def test_samples_of_a_small_table_are_whole(spark):
+    frame = spark.range(300).select("id", F.rand(1).alias("x"))
+    for size, want in ((256, 256), (300, 300)):
+        samples = iforest.tree_samples(frame, ["x"], ["id"], 20, size, 300, 1)
+        assert [r[1] for r in samples.groupBy("tree").agg(F.countDistinct("x")).collect()] == [want] * 20
+
+
 def test_samples_on_a_large_table(spark):
     frame = spark.range(20_000).select("id", F.rand(1).alias("x"))
     samples = iforest.tree_samples(frame, ["x"], ["id"], 8, 64, 20_000, 1)
