@@ -26,29 +26,32 @@ RULES = (
 BASE = ("assign", "access", "hex")
 MASK = "[REDACTED]"
 _SPAN = "array<struct<start:bigint,place:int,kind:string,end:bigint>>"
-_LEDGER = f"blob string, scanned array<string>, spans {_SPAN}"
+#: In the ledger a span has the version of its rule; its place follows the rules of a scan.
+_KEPT = "array<struct<start:bigint,rule:string,kind:string,end:bigint>>"
+_LEDGER = f"blob string, scanned array<string>, spans {_KEPT}"
 
 
 def _named(rule):
     return f"{rule[0]}@{rule[1]}"
 
 
-def _spans(body, place, rule):
+def _spans(body, rule):
     """Spans of one rule in code points: what lies between the matches, and the
     matches, add up to the places."""
     kind, _, pattern, group, least = rule
+    name = _named(rule)
     matches = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
     both = F.zip_with(
         F.transform(F.split(body, pattern, -1), F.length),
         F.zip_with(matches, F.regexp_extract_all(body, F.lit(pattern), F.lit(group)), lambda m, g: F.struct(F.length(m).alias("m"), F.length(g).alias("g"))),
         lambda gap, x: F.struct(gap.alias("gap"), x["m"].alias("m"), x["g"].alias("g")),
     )
-    none = F.array().cast(_SPAN)
+    none = F.array().cast(_KEPT)
     start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
 
     def add(s, x):
         a = s["at"] + x["gap"]
-        span = F.struct(a.alias("start"), F.lit(place).alias("place"), F.lit(kind).alias("kind"), (a + x["m"]).alias("end"))
+        span = F.struct(a.alias("start"), F.lit(name).alias("rule"), F.lit(kind).alias("kind"), (a + x["m"]).alias("end"))
         return F.struct((a + F.coalesce(x["m"], F.lit(0))).alias("at"), F.when(x["g"] >= least, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
 
     return F.when(body.rlike(pattern), F.aggregate(both, start, add, lambda s: s["out"])).otherwise(none)
@@ -66,7 +69,9 @@ def read_ledger(spark, path):
 def scan(versions, ledger, rules=RULES):
     """Bring the ledger (a folder) up to date with the texts of ``versions``. Returns
     ``versions`` with ``blob``, and the blobs with findings of ``rules``: blob, spans by
-    start and kind. Columns of these names in ``versions`` are replaced.
+    start and kind. Columns of these names in ``versions`` are replaced. Only findings
+    of the rules at the versions given count: what an older version of a rule has found,
+    or one that is no longer given, stays in the ledger and comes back with that rule.
 
     A null text is an empty blob. Copies, over paths and over time, are read once for
     each rule version. A batch that was recorded is not scanned again, so a job that
@@ -81,13 +86,21 @@ def scan(versions, ledger, rules=RULES):
     todo = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
     unseen = addressed.groupBy("blob").agg(F.first("body").alias("body")).join(seen, "blob", "left").withColumn("todo", todo).where(F.size("todo") > 0)
     found = [
-        F.when(F.array_contains("todo", _named(r)), _spans(F.col("body"), i, r)).otherwise(F.array().cast(_SPAN))
-        for i, r in enumerate(rules)
+        F.when(F.array_contains("todo", _named(r)), _spans(F.col("body"), r)).otherwise(F.array().cast(_KEPT)) for r in rules
     ]
     fresh = unseen.select("blob", F.col("todo").alias("scanned"), F.array_sort(F.concat(*found)).alias("spans"))
     fresh.write.parquet(f"{ledger}/scan-{uuid.uuid4().hex}")
-    current = F.filter(F.flatten(F.collect_list("spans")), lambda s: s["kind"].isin([r[0] for r in rules]))
-    hits = read_ledger(spark, ledger).where(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.array_distinct(current)).alias("spans"))
+    names = F.array(*(F.lit(_named(r)) for r in rules))
+
+    def current(spans):
+        placed = F.transform(
+            F.filter(spans, lambda s: F.array_contains(names, s["rule"])),
+            lambda s: F.struct(s["start"].alias("start"), (F.array_position(names, s["rule"]) - 1).cast("int").alias("place"), s["kind"].alias("kind"), s["end"].alias("end")),
+        )
+        return F.array_sort(F.array_distinct(placed))
+
+    kept = read_ledger(spark, ledger).where(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    hits = kept.select("blob", current(F.col("spans")).alias("spans")).where(F.size("spans") > 0)
     hits = written(hits, "secret-hits")
     paths = versions.withColumn("blob", F.sha2(body.cast("binary"), 256))
     return paths, hits

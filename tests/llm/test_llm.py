@@ -175,6 +175,25 @@ def test_secrets_and_ledger(spark, docs, empty):
     assert secrets.findings(empty, scratch_folder(spark, "ledger")).collect() == []
 
 
+def test_findings_follow_the_versions_of_the_rules(spark):
+    texts = ["a " + "0a" * 12, "b " + "1b" * 16, SECRET, None, "password = hunter22 " + "2c" * 13]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assign, _, short = secrets.RULES[:3]
+    long = ("hex", 2, r"[0-9a-f]{30,}", 0, 30)
+    ledger = scratch_folder(spark, "ledger")
+
+    def found(rules, ledger):
+        rows = secrets.findings(docs, ledger, rules).select("doc_id", secrets.joined(F.col("spans")).alias("s"))
+        return sorted(tuple(r) for r in rows.collect())
+
+    scanned = []
+    # A newer version, a rule that goes, other rules and orders, and rules that return.
+    for rules in ([assign, short], [assign, long], [assign], [short], [long, assign], [assign, short], [assign, short]):
+        assert found(rules, ledger) == found(rules, scratch_folder(spark, "ledger"))
+        scanned.append(secrets.read_ledger(spark, ledger).count())
+    assert scanned == [5, 10, 10, 10, 10, 10, 10]  # known rules read no blob again
+
+
 def test_redaction(spark, docs):
     rows = secrets.findings(docs, scratch_folder(spark, "ledger")).withColumn("clean", secrets.redacted(F.col("text"), F.col("spans")))
     got = {r.text: r.clean for r in rows.collect()}
