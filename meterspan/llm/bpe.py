@@ -222,13 +222,13 @@ def _gather(flat, starts, sizes, index):
 
 
 def _encoder(table, known, pattern):
-    words, lists = known
+    words, flat_ids, ends = known
 
     def run(batches):
         import regex
 
         split, merges = regex.compile(pattern), Merges(table)
-        common = dict(zip(words, lists))
+        common = dict(zip(words, np.split(flat_ids, ends[:-1])))
         pieces = [b""] * (max(table.values()) + 1)
         for piece, rank in table.items():
             pieces[rank] = piece
@@ -279,8 +279,10 @@ def encoded(docs, path, pattern, keep=("doc_id",), words=WORDS):
     tables lack are split in Python. Special tokens are ordinary text."""
     text.small_batches(docs.sparkSession)
     table = ranks(path)
-    common = encode_words(commonest(docs, pattern, words), table).collect()
-    known = ([r[0].encode() for r in common], [np.array(r[1], np.uint32) for r in common])
+    common = encode_words(commonest(docs, pattern, words), table).toArrow().combine_chunks()
+    lists = common.column("ids").combine_chunks()
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    known = ([w.encode() for w in common.column("word").to_pylist()], lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), ends)
     rows = docs.select(
         F.lit(0).alias("pad"),
         F.when(F.col("text").rlike(r"\p{Cn}"), F.col("text")).alias("odd"),
