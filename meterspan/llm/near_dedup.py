@@ -7,8 +7,8 @@ one selected minwise token of its set. Classes that share a node of at most
 member with one leader and branches again, and its members are linked through
 leaders. Candidates are confirmed on full shingle sets; connected classes form a
 component. Leaders do not reach every link of a large group: classes of nodes still
-large at level ``EXACT`` form crowds, and in each crowd all classes that are not
-connected yet are compared on full sets, in blocks of bounded size.
+large at level ``EXACT`` whose components are still apart form crowds, and in each crowd all
+classes that are not connected yet are compared on full sets, in blocks of bounded size.
 
 A pair of similarity s meets in a tree that branches d times with probability
 s^d; at 0.75 and two levels, 16 trees miss two pairs in a million. A pair that meets
@@ -89,6 +89,23 @@ def _sets(batches):
             )
 
 
+def _classed(batches):
+    for batch in batches:
+        for at, hashes, bounds in text.chunks(text.raw(batch.column(0))):
+            sets = text.shingles(hashes, bounds)
+            yield pa.RecordBatch.from_arrays(
+                [*(c.slice(at, len(sets)) for c in batch.columns[1:]), pa.array([_print(s) for s in sets], pa.binary())],
+                [*batch.schema.names[1:], "class"],
+            )
+
+
+def with_class(rows, body="text"):
+    """``rows`` with the class of the text in ``body``; null where it has no words. A
+    column named class is not allowed."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.select(F.col(body).alias("class_body"), *rows.columns).mapInArrow(_classed, f"{kinds}, class binary")
+
+
 def _branch(tree, level, tokens):
     """The token that a path of this tree selects at this level: every tree starts
     with tokens of its own, deeper levels walk on through the others."""
@@ -206,12 +223,22 @@ def _block_links(similarity):
 
 
 def crowd_links(slim, classes, crowded, edges, similarity):
-    """Links (a, b) that connect what ``edges`` leaves apart within each crowd, that is
-    among the classes that the pairs ``crowded`` connect. All classes outside a crowd's
-    commonest root are compared with all of the crowd, on full sets."""
-    crowds = components(crowded).withColumnRenamed("root", "crowd")
-    members = crowds.join(classes.select("class", "size"), "class").join(components(edges), "class", "left")
-    members = written(members.withColumn("root", F.coalesce("root", "class")), "near-dedup-crowds")
+    """Links (a, b) that connect what ``edges`` leaves apart within each crowd. Crowds are
+    what the pairs ``crowded`` connect among the components of ``edges``: a pair within
+    a component says nothing new, so a group that is one component makes no crowd. All
+    classes outside a crowd's commonest component are compared with all of the crowd,
+    on full sets. None where nothing is apart."""
+    known = written(components(edges), "near-dedup-known")
+    pairs = crowded.distinct()
+    for end in "ab":
+        side = known.select(F.col("class").alias(end), F.col("root").alias(f"root_{end}"))
+        pairs = pairs.join(side, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    apart = written(pairs.where("root_a != root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "near-dedup-apart-pairs")
+    if apart.isEmpty():
+        return None
+    crowds = components(apart).select(F.col("class").alias("root"), F.col("root").alias("crowd"))
+    members = classes.select("class", "size").join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    members = written(members.join(crowds, "root"), "near-dedup-crowds")
     tally = members.groupBy("crowd", "root").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
     tally = tally.groupBy("crowd").agg(
         F.count("*").alias("roots"), F.max(F.struct("n", "w", "root")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w")
@@ -281,8 +308,9 @@ def near_duplicates(docs, similarity=SIMILARITY):
         .select("a", "b"),
         "near-dedup-edges",
     )
-    if crowded is not None:
-        edges = edges.unionByName(crowd_links(slim, classes, crowded, edges, similarity))
+    more = crowd_links(slim, classes, crowded, edges, similarity) if crowded is not None else None
+    if more is not None:
+        edges = edges.unionByName(more)
     roots = classes.select("class", "first").join(components(edges), "class", "left").withColumn("root", F.coalesce("root", "class"))
     lowest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     roots = written(roots.join(lowest, "root").select("class", "component_id"), "near-dedup-roots")

@@ -352,3 +352,17 @@ def test_pipeline(spark, folder):
     assert all(brute_spans(r.text) == "" for r in kept.collect())
     tokens = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.STAGES[-1][1](spark, kept, folder).collect()}
     assert tokens == {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in kept.collect()}
+
+
+def test_passages_that_chain_unlinked_texts_make_no_links(spark):
+    one, two = prose(71, 60), prose(72, 60)
+    rows = [(i, f"{prose(2000 + i, 25)} {(one, two, one + ' ' + two)[i % 3]} {prose(3000 + i, 25)}") for i in range(150)]
+    rows += [(900, rows[4][1]), (901, rows[7][1].replace(rows[7][1].split()[0], "changed", 1))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows)
+
+
+def test_rows_get_their_own_class(spark, docs):
+    got = near_dedup.with_class(docs.select("doc_id", "text")).collect()
+    want = {(r.doc_id, r["class"]) for r in near_dedup.near_duplicates(docs).collect()}
+    assert {(r.doc_id, r["class"]) for r in got} == want and len(got) == docs.count()
