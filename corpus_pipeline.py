@@ -20,10 +20,24 @@ def language_id(spark, docs, sf_dir):
 
 
 def near_dedup_stage(spark, docs, sf_dir):
-    """Keeps the document with the smallest doc_id of each group of near duplicates."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = sized(written(kept, "kept-ids"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Keeps the document with the smallest doc_id of each group of near duplicates. Rows
+    that share a doc_id and differ in their text are told apart by the text's class."""
+    found = near_dedup.near_duplicates(docs).select(F.col("doc_id").alias("kept_id"), "class", "kept")
+    found = written(found.groupBy("kept_id", "class").agg(F.max("kept").alias("kept")), "near-dedup-found")
+    ids = written(found.groupBy("kept_id").agg(F.min("kept").alias("every"), F.max("kept").alias("some")), "near-dedup-ids")
+    whole = sized(ids.where("every").select("kept_id"))
+    kept = docs.join(whole, docs["doc_id"].eqNullSafe(whole["kept_id"]), "left_semi")
+    mixed = written(ids.where("some and not every").select("kept_id"), "near-dedup-mixed")
+    if mixed.isEmpty():
+        return kept
+    names = docs.columns
+    of_mixed = docs.join(sized(mixed), docs["doc_id"].eqNullSafe(mixed["kept_id"]), "left_semi")
+    plain = of_mixed.select("doc_id", "text", *(F.col(f"`{c}`").alias(f"column_{i}") for i, c in enumerate(names)))
+    right = found.where("kept").select("kept_id", F.col("class").alias("kept_class"))
+    classed = near_dedup.with_class(plain)
+    same = classed["doc_id"].eqNullSafe(right["kept_id"]) & classed["class"].eqNullSafe(right["kept_class"])
+    rest = classed.join(right, same, "left_semi")
+    return kept.unionByName(rest.select(*(F.col(f"column_{i}").alias(c) for i, c in enumerate(names))))
 
 
 def decontamination(spark, docs, sf_dir):
