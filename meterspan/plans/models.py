@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from meterspan import fixed
 from meterspan.operators import anomalies, features, forecast, iforest, models, stats
+from meterspan.operators.trees import TreeModel
 from meterspan.plans.energy import SPLIT_DATE, hourly_features
-from meterspan.plans.registry import query, r, report
+from meterspan.plans.registry import day, query, r, report
 from meterspan.plans.series import PLAIN, split_table
 from meterspan.plans.statistics import histogram_sql
-from meterspan.operators.trees import TreeModel
 from meterspan.plans.vectors import requests
 from meterspan.session import scratch_folder
 from meterspan.sources import tables as t
@@ -149,6 +149,51 @@ def test_predictions(spark, folder):
     return report(predicted(spark, folder))
 
 
+@query(
+    "test_actuals",
+    f"""WITH {_TEST} SELECT household_id, {day('date')}, {r('actual_kwh', 'naive_prediction_kwh')},
+  TRUE AS predicted FROM test WHERE household_id = 0""".replace(t.daily_sql(), t.daily_sql(1)),
+)
+def test_actuals(spark, folder):
+    """What SQL can say of the prediction table: its rows, their actual and naive values,
+    and that both models predict every one of them."""
+    table = predicted(spark, folder)
+    both = F.col("random_forest_kwh").isNotNull() & F.col("boosting_kwh").isNotNull()
+    return report(table.select("household_id", "date", "actual_kwh", "naive_prediction_kwh", both.alias("predicted")))
+
+
+@query(
+    "model_tallies",
+    f"""WITH {_TEST}, f AS (SELECT count(*) AS n FROM features WHERE lag_30 IS NOT NULL), m AS (
+  SELECT avg(abs(actual_kwh - naive_prediction_kwh)) AS mae FROM test)
+SELECT tally, rows, TRUE AS holds FROM (
+  SELECT 'anomalies: flagged and others are all days' AS tally, n AS rows FROM f
+  UNION ALL SELECT 'clusters: days of all clusters', n FROM f
+  UNION ALL SELECT 'importances: features, sum 1', {len(fixed.DAILY_FEATURES)}
+  UNION ALL SELECT 'models: better than the naive one', 2
+  UNION ALL SELECT 'splits: training, validation and test', n FROM f)""".replace(t.daily_sql(), t.daily_sql(1)),
+)
+def model_tallies(spark, folder):
+    """Counts that the model tables must agree on, measured on the fitted models."""
+    context = forest_context(spark, folder).first()
+    days = [r["days"] for r in cluster_summary(spark, folder).collect()]
+    shares = importances(spark, folder).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("RandomForest_Importance").alias("a"), F.sum("Boosting_Importance").alias("b")
+    ).first()
+    metrics = {r["Model"]: r["MAE"] for r in daily_model_comparison(spark, folder).collect()}
+    naive = metrics.pop("naive_prediction_kwh")
+    parts = {r["split"]: r["count"] for r in split_table(spark, folder, households=1).groupBy("split").count().collect()}
+    share = context.flagged_rows / context.evaluated_rows
+    rows = [
+        ("anomalies: flagged and others are all days", context.flagged_rows + context.inliers, abs(share - fixed.CONTAMINATION) < 0.002),
+        ("clusters: days of all clusters", sum(days), len(days) >= 2),
+        ("importances: features, sum 1", shares["n"], abs(shares["a"] - 1) < 1e-9 and abs(shares["b"] - 1) < 1e-9),
+        ("models: better than the naive one", len(metrics), all(v < naive for v in metrics.values())),
+        ("splits: training, validation and test", sum(parts.values()), sorted(parts) == ["test", "training", "validation"]),
+    ]
+    return spark.createDataFrame([(a, int(n), bool(ok)) for a, n, ok in rows], "tally string, rows long, holds boolean")
+
+
 def importances(spark, folder):
     labels = {"random_forest": "RandomForest_Importance", "boosting": "Boosting_Importance"}
     named = {labels[name]: model for name, model in fitted(spark, folder).items()}
