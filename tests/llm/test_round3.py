@@ -339,3 +339,16 @@ def test_columns_of_a_repair(spark):
     frame = spark.createDataFrame([(1, 0, "user", "hi.")], "conv_id long, turn int, role string, text string")
     got = conversations.repaired(frame.withColumn("audit", F.lit("q")))
     assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def test_rows_of_one_doc_id_are_told_apart(spark):
+    import corpus_pipeline
+
+    a, b = prose(81, 40), prose(82, 40)
+    rows = [(1, a, "x"), (5, b, "x"), (5, a, "x"), (None, a, "x"), (7, None, "y"), (7, None, "y"), (None, None, "z"), (None, b, "x"), (8, prose(83, 40), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    after = corpus_pipeline.near_dedup_stage(spark, docs, None)
+    assert after.columns == docs.columns
+    want = [rows[0], rows[1], rows[4], rows[5], rows[6], rows[8]]
+    assert sorted(map(tuple, after.collect()), key=repr) == sorted(want, key=repr)
+    assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), None).collect() == []
