@@ -6,7 +6,8 @@ one selected minwise token of its set. Classes that share a node of at most
 ``small`` members are compared with each other. A larger node compares each
 member with one leader and branches again, and its members are linked through
 leaders. Candidates are confirmed on full shingle sets; connected classes form a
-component. Leaders do not reach every link of a large group: classes of nodes still
+component. The trees are grown in turns: a later turn pairs only classes that the links of
+the earlier leave apart. Leaders do not reach every link of a large group: classes of nodes still
 large at level ``EXACT`` whose components are still apart form crowds, and in each crowd all
 classes that are not connected yet are compared on full sets, in blocks of bounded size.
 
@@ -15,9 +16,11 @@ s^d; at 0.75 and two levels, 16 trees miss two pairs in a million. A pair that m
 there is compared, in a small node or in its crowd."""
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterspan.llm import text
@@ -26,6 +29,8 @@ from meterspan.session import written
 
 TOKENS = 64
 TREES = 16
+#: The trees that are grown together; the later ones leave out what the earlier connected.
+TURNS = (range(0, 3), range(3, TREES))
 SMALL = 12
 LEVELS = 6
 EXACT = 2
@@ -113,39 +118,51 @@ def _branch(tree, level, tokens):
     return F.get(tokens, at.cast("int"))
 
 
-def candidates(classes):
-    """Pairs of classes (a < b) that meet in a small node of some tree or as leader and
-    member of a large one, and the pairs of the latter kind at level ``EXACT`` (None
-    without large nodes there). ``classes`` has ``class`` and ``tokens``. Runs one job
+def candidates(classes, trees, known=None):
+    """(pairs, crowded) of some trees. pairs has the classes (a < b in a small node) that
+    meet in a small node, or as leader and member of a large one; crowded has ``class``,
+    ``node`` of the nodes still large at level ``EXACT`` (None without any). ``classes``
+    has ``class`` and ``tokens``; ``known`` the ``class`` and ``root`` of what is already
+    connected: pairs of one root are left out, and so are nodes of one root. Runs one job
     per level."""
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    rows = classes.select("class", "tokens", tree).select(
-        "class", "tree", F.xxhash64("tree", _branch(F.col("tree"), 0, F.col("tokens"))).alias("node")
+    tree = F.explode(F.array(*(F.lit(t) for t in trees))).alias("tree")
+    rows = classes.select("class", "tokens")
+    rows = rows.withColumn("root", F.col("class")) if known is None else _rooted(rows, known)
+    rows = rows.select("class", "root", "tokens", tree).select(
+        "class", "root", "tree", F.xxhash64("tree", _branch(F.col("tree"), 0, F.col("tokens"))).alias("node")
     )
     found, crowded = [], None
     for level in range(1, LEVELS + 1):
-        nodes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("leader"))
-        nodes = written(nodes.where("members > 1"), "near-dedup-nodes")
+        nodes = rows.groupBy("node").agg(
+            F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("class", "root")).alias("leader")
+        )
+        nodes = written(nodes.where("low != high").select("node", "members", "leader"), "near-dedup-nodes")
         met = written(rows.join(nodes, "node"), "near-dedup-met")
         small = met.where(F.col("members") <= SMALL)
-        lists = small.groupBy("node").agg(F.array_sort(F.collect_set("class")).alias("m"))
+        lists = small.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("class", "root"))).alias("m"))
         pairs = F.flatten(
-            F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, F.lit(SMALL)), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+            F.transform(
+                "m",
+                lambda x, i: F.transform(
+                    F.filter(F.slice("m", i + 2, F.lit(SMALL)), lambda y: x["root"] != y["root"]),
+                    lambda y: F.struct(x["class"].alias("a"), y["class"].alias("b")),
+                ),
+            )
         )
         found.append(lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
         large = met.where(F.col("members") > SMALL)
-        found.append(large.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")))
+        found.append(large.where("root != leader.root").select(F.col("leader.class").alias("a"), F.col("class").alias("b")))
         if large.isEmpty():
             break
         if level == EXACT:
-            crowded = found[-1]
+            crowded = large.select("class", "node")
         if level == LEVELS:
             break
         if level == 1:
             # Later levels walk on with some of these classes.
             deep = written(classes.join(large.select("class").distinct(), "class", "left_semi").select("class", "tokens"), "near-dedup-deep")
         rows = large.join(deep, "class").select(
-            "class", "tree", F.xxhash64("node", _branch(F.col("tree"), level, F.col("tokens"))).alias("node")
+            "class", "root", "tree", F.xxhash64("node", _branch(F.col("tree"), level, F.col("tokens"))).alias("node")
         )
         rows = written(rows, "near-dedup-rows")
     out = found[0]
@@ -154,6 +171,11 @@ def candidates(classes):
     return out.distinct(), crowded
 
 
+def _rooted(rows, known):
+    """``rows`` with the root of their class, which is the class itself where nothing is known."""
+    return rows.join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
+
+
 def _pairs_with(pairs, table, *columns):
     """``pairs`` with the columns of both ends."""
     for end in "ab":
@@ -222,22 +244,20 @@ def _block_links(similarity):
     return run
 
 
-def crowd_links(slim, classes, crowded, edges, similarity):
-    """Links (a, b) that connect what ``edges`` leaves apart within each crowd. Crowds are
-    what the pairs ``crowded`` connect among the components of ``edges``: a pair within
-    a component says nothing new, so a group that is one component makes no crowd. All
-    classes outside a crowd's commonest component are compared with all of the crowd,
-    on full sets. None where nothing is apart."""
-    known = written(components(edges), "near-dedup-known")
-    pairs = crowded.distinct()
-    for end in "ab":
-        side = known.select(F.col("class").alias(end), F.col("root").alias(f"root_{end}"))
-        pairs = pairs.join(side, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
-    apart = written(pairs.where("root_a != root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "near-dedup-apart-pairs")
+def crowd_links(slim, classes, crowded, known, similarity):
+    """Links (a, b) that connect what is apart in ``known`` (class, root) within each
+    crowd. Crowds are components of roots that share a node of ``crowded`` (class, node):
+    a node of one root says nothing new, so a group that is one component makes no crowd.
+    All classes outside a crowd's commonest root are compared with all of the crowd, on
+    full sets. None where nothing is apart."""
+    held = written(_rooted(crowded, known).groupBy("node", "root").agg(F.count("*").alias("n")), "near-dedup-held")
+    low = held.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("high")).where("a != high").select("node", "a")
+    apart = held.join(low, "node").where("root != a").select("a", F.col("root").alias("b")).distinct()
+    apart = written(apart, "near-dedup-apart-pairs")
     if apart.isEmpty():
         return None
     crowds = components(apart).select(F.col("class").alias("root"), F.col("root").alias("crowd"))
-    members = classes.select("class", "size").join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    members = _rooted(classes.select("class", "size"), known)
     members = written(members.join(crowds, "root"), "near-dedup-crowds")
     tally = members.groupBy("crowd", "root").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
     tally = tally.groupBy("crowd").agg(
@@ -268,6 +288,23 @@ def crowd_links(slim, classes, crowded, edges, similarity):
     return written(rows.groupBy("crowd", "i", "j").applyInArrow(_block_links(similarity), "a binary, b binary"), "near-dedup-apart-edges")
 
 
+def _confirmed(slim, classes, pairs, similarity):
+    """The pairs that are links by their full sets."""
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    shared = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x))
+    alike = (
+        _pairs_with(written(pairs, "near-dedup-pairs"), classes, "size", "sketch")
+        .where((100 * small >= similarity * large) & (shared >= SHARED))
+        .select("a", "b", "size_a", "size_b")
+    )
+    alike = written(alike, "near-dedup-alike")
+    needed = written(alike.select(F.col("a").alias("class")).union(alike.select("b")).distinct(), "near-dedup-needed")
+    sets = _full_sets(slim, classes, needed, "near-dedup")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    links = _pairs_with(alike, sets, "set").where(100 * both >= similarity * (F.col("size_a") + F.col("size_b") - both))
+    return written(links.select("a", "b"), "near-dedup-edges")
+
+
 def near_duplicates(docs, similarity=SIMILARITY):
     """doc_id, n_shingles, class, component_id, kept for every row of ``docs``
     (doc_id, text; other columns are ignored).
@@ -290,28 +327,19 @@ def near_duplicates(docs, similarity=SIMILARITY):
         ),
         "near-dedup-classes",
     )
-    pairs, crowded = candidates(classes)
-    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    shared = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x))
-    alike = (
-        _pairs_with(written(pairs, "near-dedup-pairs"), classes, "size", "sketch")
-        .where((100 * small >= similarity * large) & (shared >= SHARED))
-        .select("a", "b", "size_a", "size_b")
-    )
-    alike = written(alike, "near-dedup-alike")
-    needed = written(alike.select(F.col("a").alias("class")).union(alike.select("b")).distinct(), "near-dedup-needed")
-    sets = _full_sets(slim, classes, needed, "near-dedup")
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    edges = written(
-        _pairs_with(alike, sets, "set")
-        .where(100 * both >= similarity * (F.col("size_a") + F.col("size_b") - both))
-        .select("a", "b"),
-        "near-dedup-edges",
-    )
-    more = crowd_links(slim, classes, crowded, edges, similarity) if crowded is not None else None
-    if more is not None:
-        edges = edges.unionByName(more)
-    roots = classes.select("class", "first").join(components(edges), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    edges, crowds = None, []
+    for trees in TURNS:
+        known = written(components(edges), "near-dedup-known") if edges is not None else None
+        pairs, crowded = candidates(classes, trees, known)
+        confirmed = _confirmed(slim, classes, pairs, similarity)
+        edges = confirmed if edges is None else edges.unionByName(confirmed)
+        crowds += [crowded] if crowded is not None else []
+    known = written(components(edges), "near-dedup-known")
+    if crowds:
+        more = crowd_links(slim, classes, reduce(DataFrame.unionByName, crowds), known, similarity)
+        if more is not None:
+            known = components(edges.unionByName(more))
+    roots = _rooted(classes.select("class", "first"), known)
     lowest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     roots = written(roots.join(lowest, "root").select("class", "component_id"), "near-dedup-roots")
     plain = signed.where("class is null").withColumn("component_id", F.col("doc_id"))
