@@ -4,9 +4,10 @@ A text is a vector of hashed byte trigrams (lower-case, everything that is no
 letter as a space): log term counts times inverse document frequency, length 1.
 The vectors of a language's sample are clustered into a few centroids; a text has
 the language of the centroid with the highest cosine. It is rejected where that
-cosine is below ``REACH`` times what nearly all of the language's sample reaches.
-The bound is low: short texts of a language have small cosines, texts in other
-scripts have none."""
+cosine is below ``REACH`` times what nearly all of the language's sample reaches at
+the text's length: cosines grow with it, and foreign texts have some too, since they
+share trigrams and buckets with the learned ones. What the sample reaches at a length
+is found by thinning its counts."""
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,11 @@ from meterspan.llm.samples import per_class
 DIMENSIONS = 4096
 CENTROIDS = 4
 PER_LANGUAGE = 400
-REACH = 0.08
+REACH = 0.5
+#: "Nearly all" of the sample is all but this share of it.
+LEAST = 0.01
+#: Lengths are taken by their power of two, from 2**2 to 2**11 distinct trigrams.
+SHORTEST, LONGEST = 2, 11
 UNKNOWN = "und"
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -82,6 +87,33 @@ def _cluster(x, k, rounds=20):
     return c
 
 
+def _length(counts):
+    """Which bound a row of trigram counts has: by its distinct trigrams, so that a
+    text of one repeated word is a short one."""
+    seen = np.maximum((counts > 0).sum(1), 1)
+    return np.clip(np.log2(seen).astype(np.int64), SHORTEST, LONGEST) - SHORTEST
+
+
+def _reach(counts, idf, centroids, rng):
+    """The bound at each length, of the sample ``counts`` of one language: its rows are
+    thinned to every power of two of trigrams. A length that has fewer rows than a tenth
+    of the sample takes the bound of the length before."""
+    total, lengths, cosines = counts.sum(1), [], []
+    row, column = np.nonzero(counts)
+    for power in range(SHORTEST, LONGEST + 2):
+        thin = np.zeros_like(counts)
+        share = np.minimum(1, (1 << power) / np.maximum(total, 1))
+        thin[row, column] = rng.binomial(counts[row, column].astype(np.int64), share[row])
+        thin = thin[(total >= 1 << power) & thin.any(1)]
+        lengths.append(_length(thin))
+        cosines.append((_unit(np.log1p(thin) * idf) @ centroids.T).max(1))
+    length, cosine, bounds = np.concatenate(lengths), np.concatenate(cosines), [0.0]
+    for k in range(LONGEST - SHORTEST + 1):
+        own = cosine[length == k]
+        bounds.append(REACH * np.quantile(own, LEAST) if len(own) >= max(1, len(counts) / 10) else bounds[-1])
+    return bounds[1:]
+
+
 def fit(docs, per_language=PER_LANGUAGE):
     """The model of the languages in ``docs`` (doc_id, text, lang): a bounded sample
     of about ``per_language`` rows each, of rows with a letter and a lang. Two jobs
@@ -94,7 +126,7 @@ def fit(docs, per_language=PER_LANGUAGE):
     for row, (_, at, count) in zip(x, found):
         row[np.frombuffer(at, np.uint16)] = np.frombuffer(count, np.float32)
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + np.float32(0.05)
-    x = _unit(np.log1p(x) * idf)
+    raw, x, rng = x, _unit(np.log1p(x) * idf), np.random.default_rng(7)
     names = np.array([f[0] for f in found], object)
     owners, centroids, reach = [], [], []
     for name in sorted(set(names)):
@@ -102,12 +134,12 @@ def fit(docs, per_language=PER_LANGUAGE):
         c = _cluster(own, CENTROIDS)
         owners += [name] * len(c)
         centroids += list(c)
-        reach += [REACH * np.quantile((own @ c.T).max(1), 0.05)] * len(c)
+        reach += [_reach(raw[names == name], idf, c, rng)] * len(c)
     return {
         "idf": idf,
         "names": owners,
         "centroids": np.stack(centroids) if centroids else np.zeros((0, DIMENSIONS), np.float32),
-        "reach": np.array(reach, np.float32),
+        "reach": np.array(reach, np.float32).reshape(len(owners), LONGEST - SHORTEST + 1),
     }
 
 
@@ -121,11 +153,11 @@ def _predict(model):
                 if len(model["names"]):
                     cosine = _unit(np.log1p(rows) * model["idf"]) @ model["centroids"].T
                     best = np.argmax(cosine, 1)
-                    top = cosine[np.arange(n), best]
+                    top, length = cosine[np.arange(n), best], _length(rows)
                     for i in np.flatnonzero(letters == True):  # noqa: E712
                         names[i] = model["names"][best[i]]
                         scores[i] = min(1.0, max(0.0, float(top[i])))
-                        rejected[i] = top[i] < model["reach"][best[i]]
+                        rejected[i] = top[i] < model["reach"][best[i], length[i]]
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(at, n) for c in batch.columns[3:]), pa.array(names), pa.array(scores), pa.array(rejected)],
                     [*batch.schema.names[3:], "lang_pred", "score", "rejected"],

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from meterspan.llm import conversations, simhash, whitening
+from meterspan.llm import conversations, language, queries, simhash, whitening
 
 WORDS = "ant bee cat dog elk fox gnu hen ibex jay koi lynx mole newt owl pig quail rat seal toad".split()
 
@@ -352,3 +352,24 @@ def test_rows_of_one_doc_id_are_told_apart(spark):
     want = [rows[0], rows[1], rows[4], rows[5], rows[6], rows[8]]
     assert sorted(map(tuple, after.collect()), key=repr) == sorted(want, key=repr)
     assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), None).collect() == []
+
+
+FOREIGN = {
+    "polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, obdarzeni rozumem i sumieniem",
+    "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, heille on annettu järki ja omatunto",
+    "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα, προικισμένοι με λογική",
+    "japanese": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "soup": "xqzv wkjhg pqlmx zzrtv bnmkl qwxcv hjkzq vbnxz mqwpl kxjzv tgbqz plmxw zxqkv jhgwq vkzxm",
+}
+
+
+def test_foreign_texts_are_rejected_by_the_model_of_the_real_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = queries.language_model(docs)
+    rows = [(f"{k} {n}", t[:n]) for k, t in FOREIGN.items() for n in (40, 80, 500)]
+    rows += [("short", "the"), ("repeated", "que " * 800)]
+    got = {r.doc_id: r.rejected for r in language.predict(spark.createDataFrame(rows, "doc_id string, text string"), model).collect()}
+    assert all(got[f"{k} {n}"] for k in FOREIGN for n in (40, 80, 500))
+    assert not got["short"] and not got["repeated"]
+    own = language.predict(docs.where("text is not null and lang is not null"), model)
+    assert own.where("rejected").count() <= 0.002 * own.count()
