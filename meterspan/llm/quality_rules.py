@@ -1,25 +1,29 @@
 """Quality rules: plain counts of a text, and a hashed n-gram log-likelihood ratio.
 
 Pairs of neighbouring words are hashed into buckets. Two multinomials over the buckets, one of trusted texts and one of the
-whole raw corpus, give every pair a log-likelihood ratio; a text scores their mean,
-and one fixed threshold decides. DataFrame functions only: the pairs are counted by
-partial sums, the score is an expression over a literal table of ratios, so texts
-are never shuffled."""
+whole raw corpus, give every pair a log-likelihood ratio; a text scores their mean.
+One threshold decides for all texts: a low rank among trusted texts that the model was
+not fitted on, since scores move with the size of the corpus. DataFrame functions only:
+the pairs are counted by partial sums, the score is an expression over a literal table
+of ratios, and texts are shuffled only where the trusted ids outgrow a broadcast."""
 
 import json
 import math
 
 from pyspark.sql import functions as F
 
-from meterspan.llm.samples import per_class
+from meterspan.llm.ranks import cuts
+from meterspan.llm.samples import good_rows, sized
+from meterspan.session import written
 
 GAP = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-BUCKETS = 1 << 16
-TRUSTED = 20_000
+BUCKETS = 1 << 18
 PRIOR = 1.0
-THRESHOLD = -0.5
+#: One in HELD trusted texts is held out; the share LOSS of these falls below the threshold.
+HELD = 5
+LOSS = 0.02
 WINDOW = 5
 
 
@@ -33,9 +37,8 @@ def _bucket(pair):
 
 def ratios(docs, trusted):
     """Log-likelihood ratio of each bucket, over all texts of ``docs``; ``trusted`` has
-    the doc_ids of the target, a bounded sample. One job; the driver gets a number
-    for each bucket."""
-    flagged = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("target"))), "doc_id", "left")
+    the doc_ids of the target, each once. The driver gets a number for each bucket."""
+    flagged = docs.select("doc_id", "text").join(sized(trusted.select("doc_id", F.lit(1).alias("target"))), "doc_id", "left")
     listed = flagged.select("target", words(F.col("text")).alias("words"))
     zipped = F.arrays_zip(F.col("words").alias("a"), F.slice("words", F.lit(2), F.greatest(F.size("words"), F.lit(0))).alias("b"))
     pairs = listed.select("target", F.explode(zipped).alias("p"))
@@ -53,15 +56,36 @@ def ratios(docs, trusted):
     ]
 
 
-def trusted_rows(labels, size=TRUSTED):
-    """doc_ids with quality 1: a bounded sample of about ``size`` by the id's hash."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id", "quality")
-    return per_class(good, "quality", "doc_id", size, 1).select("doc_id").distinct()
+def trusted_rows(labels):
+    """Every doc_id with quality 1."""
+    return good_rows(labels)
 
 
-def rated(docs, table, threshold=THRESHOLD):
+def parted(trusted):
+    """The trusted doc_ids in two: those to fit on, and those held out, by hash."""
+    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(HELD)) == 0
+    return trusted.where(~held), trusted.where(held)
+
+
+def judged(docs, trusted, loss=LOSS):
+    """The columns of ``rated``, where ``kept`` follows from the ``trusted`` doc_ids: a
+    text goes if it fails the base rules, or scores below all but the share ``loss`` of
+    the held-out trusted texts that pass them (below all, where these are few). Without
+    such a text only the base rules decide. Scores count to a millionth."""
+    fitted, held = parted(trusted)
+    rows = written(rated(docs, ratios(docs, fitted)), "rated")
+    place = F.floor(F.col("score") * 1e6)
+    own = rows.where("not base_failed").join(sized(held), "doc_id", "left_semi").select(F.lit(0).alias("g"), place.alias("place"))
+    n = own.count()
+    if not n:
+        return rows
+    edge, _, _ = cuts(own, F.col("g"), F.col("place"), F.lit(1), {0: int(loss * n)}, -(1 << 30), 1 << 30, 0)[0]
+    return rows.withColumn("kept", F.col("kept") & (place > edge))
+
+
+def rated(docs, table, threshold=float("-inf")):
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score,
-    base_failed and kept for every row of ``docs``.
+    base_failed and kept (base rules, and a score of ``threshold``) for every row of ``docs``.
 
     A null text has no words; a text without words fails the base
     rules; one without a pair scores 0. Repeated rows

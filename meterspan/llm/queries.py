@@ -64,8 +64,7 @@ def op4_blob_ledger_secrets(spark, folder):
 
 def op5_likelihood_ratio_rules(spark, folder):
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    table = quality_rules.ratios(docs, quality_rules.trusted_rows(labels))
-    return quality_rules.rated(docs, table)
+    return quality_rules.judged(docs, quality_rules.trusted_rows(labels))
 
 
 def op6_capture_index(spark, folder):

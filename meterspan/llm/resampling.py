@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from meterspan.llm import text
 from meterspan.llm.ranks import cuts
-from meterspan.llm.samples import per_class
+from meterspan.llm.samples import good_rows, sized
 from meterspan.session import written
 
 BUCKETS = 1 << 16
-TARGET = 20_000
 PRIOR = 1.0
 SEED = 17
 
@@ -45,9 +44,10 @@ def _count(batches):
 
 def ratios(docs, target_ids):
     """Log ratio of the target's to the raw model for every bucket, from all texts.
-    ``target_ids`` (doc_id) is a bounded sample. The driver gets a row per bucket."""
+    ``target_ids`` (doc_id, each once) are sent to the tasks up to the size that
+    ``sized`` allows, and joined by shuffle beyond. The driver gets a row per bucket."""
     text.small_batches(docs.sparkSession)
-    flagged = docs.select("doc_id", "text").join(F.broadcast(target_ids.select("doc_id", F.lit(1).alias("target"))), "doc_id", "left")
+    flagged = docs.select("doc_id", "text").join(sized(target_ids.select("doc_id", F.lit(1).alias("target"))), "doc_id", "left")
     partial = flagged.select("text", "target").mapInArrow(_count, "bucket int, raw long, target long")
     sums = np.zeros((2, BUCKETS))
     for b, r, t in partial.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect():
@@ -56,10 +56,9 @@ def ratios(docs, target_ids):
     return (np.log(target / target.sum()) - np.log(raw / raw.sum())).astype(np.float64)
 
 
-def target_rows(labels, size=TARGET):
-    """doc_ids with quality 1: a bounded sample of about ``size`` by the id's hash."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id", "quality")
-    return per_class(good, "quality", "doc_id", size, 1).select("doc_id").distinct()
+def target_rows(labels):
+    """The target: every doc_id with quality 1."""
+    return good_rows(labels)
 
 
 def _weigh(table):
@@ -81,19 +80,19 @@ def resampled(docs, table, share):
     """doc_id, n_grams, log_weight, key and kept for every row of ``docs``; the rows
     with the ``share`` of highest keys are kept (at least the exact number, rounded).
 
-    log_weight is the sum over the n-grams of a text by the square root of their
-    number, so that length alone does not decide; key adds the Gumbel noise. Texts
+    log_weight is the log ratio of the text's likelihoods, the sum over its n-grams; key
+    adds the Gumbel noise. Texts
     without words (null, empty) have weight 0 and are never kept. Rows with equal
     doc_id and text have equal keys; where the threshold falls among equal keys, all
     of them are kept."""
     rows = docs.select("doc_id", "text").mapInArrow(_weigh(table), "doc_id long, n_grams long, log_weight double")
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
-    weight = F.when(F.col("n_grams") > 0, F.col("log_weight") / F.sqrt("n_grams")).otherwise(F.lit(0.0))
+    weight = F.when(F.col("n_grams") > 0, F.col("log_weight")).otherwise(F.lit(0.0))
     rows = rows.withColumn("log_weight", weight).withColumn("key", F.col("log_weight") - F.log(-F.log(uniform)))
     rows = written(rows, "importance")
     # Keys as integers in falling order: a millionth decides.
-    place = F.greatest(F.lit(0), F.least(F.lit(1 << 45), F.floor((F.lit(1e6) - F.col("key")) * 1e6)))
+    place = F.greatest(F.lit(0), F.least(F.lit(1 << 51), F.floor((F.lit(1e9) - F.col("key")) * 1e6)))
     worded = rows.where("n_grams > 0").select(F.lit(0).alias("g"), place.cast("long").alias("place"))
     wanted = round(share * worded.count())
-    edge, _, _ = cuts(worded, F.col("g"), F.col("place"), F.lit(1), {0: wanted}, 0, 1 << 45, 0)[0]
+    edge, _, _ = cuts(worded, F.col("g"), F.col("place"), F.lit(1), {0: wanted}, 0, 1 << 51, 0)[0]
     return rows.withColumn("kept", (F.col("n_grams") > 0) & (place <= edge))

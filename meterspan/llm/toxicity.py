@@ -17,9 +17,11 @@ from meterspan.llm.samples import per_class
 
 GRADES = 3
 PER_LABEL = 4000
-#: A marker word is so many times likelier in toxic rows, with such a standard score.
+#: A marker word is so many times likelier in toxic rows, with a standard score of one of
+#: CLEAR: the one by which the parts of the sample are judged best from the others.
 RATE = 4
-CLEAR = 7
+CLEAR = (3, 4, 5, 7, 9, 12, 16)
+PARTS = 4
 STEM = 5
 
 
@@ -38,14 +40,33 @@ def _features(batches):
             )
 
 
-def _markers(toxic, owner, word, n):
+def _markers(toxic, owner, word, n, clear):
     """Words that toxic rows hold ``RATE`` times as often as others, with a standard
-    score of ``CLEAR`` for the difference of the two shares."""
+    score of ``clear`` for the difference of the two shares.
+
+    They are taken one by one, the highest score first, and a toxic row counts half as
+    much with each marker it holds: the other words of a toxic text that was copied
+    many times are no markers, since its rows are explained already."""
     size = np.array([max(1, (~toxic).sum()), max(1, toxic.sum())])
-    seen = np.stack([np.bincount(word[toxic[owner] == k], minlength=n) for k in (0, 1)])
-    share, both = seen / size[:, None], seen.sum(0) / size.sum()
-    z = (share[1] - share[0]) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / size).sum())
-    return (share[1] >= RATE * share[0]) & (z >= CLEAR)
+    clean = np.bincount(word[~toxic[owner]], minlength=n)
+    own = toxic[owner]
+    by_row, by_word = np.flatnonzero(own), np.flatnonzero(own)[np.argsort(word[own], kind="stable")]
+    row_at = np.searchsorted(owner[by_row], np.arange(len(toxic) + 1))
+    word_at = np.searchsorted(word[by_word], np.arange(n + 1))
+    weight, seen = np.ones(len(toxic)), np.bincount(word[own], minlength=n).astype(float)
+    marker = np.zeros(n, bool)
+    while n:
+        share, both = (clean / size[0], seen / size[1]), (clean + seen) / size.sum()
+        z = (share[1] - share[0]) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / size).sum())
+        z[marker | (share[1] < RATE * share[0])] = 0
+        best = int(np.argmax(z))
+        if z[best] < clear:
+            break
+        marker[best] = True
+        for row in owner[by_word[word_at[best] : word_at[best + 1]]]:
+            weight[row] /= 2
+            seen[word[by_row[row_at[row] : row_at[row + 1]]]] -= weight[row]
+    return marker
 
 
 def _grades(toxic, owner, word, count, total, marker):
@@ -55,32 +76,28 @@ def _grades(toxic, owner, word, count, total, marker):
     return np.where(toxic, 1 + (density[:, None] > cuts).sum(1), 0)
 
 
-def fit(docs, labels, per_label=PER_LABEL, rounds=400, pull=1e-5):
-    """Weights and thresholds from about ``per_label`` rows of either label (a
-    bounded sample of the labelled rows, by the hash of doc_id). The driver receives
-    the sample's word buckets. Rows without label or text words teach nothing."""
-    text.small_batches(docs.sparkSession)
-    known = labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    ids = per_class(known, "toxic", "doc_id", per_label, 2)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("toxic", "text")
-    found = sorted({tuple(r) for r in rows.mapInArrow(_features, "toxic int, words binary, counts binary").limit(4 * per_label).collect()})
-    found = [f for f in found if f[1]]
+def _learn(found, clear, rounds, pull):
+    """Weights and thresholds from rows (toxic, words, counts of the words). Rows that
+    show no marker word teach that nothing is toxic."""
     toxic = np.array([f[0] > 0 for f in found], bool)
-    parts = [np.frombuffer(f[1], np.uint64) for f in found]
-    known, word = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_inverse=True)
-    count = np.concatenate([*(np.frombuffer(f[2], np.int32) for f in found), np.zeros(0, np.int32)])
-    owner = np.repeat(np.arange(len(found)), [len(p) for p in parts])
+    known, word = np.unique(np.concatenate([*(f[1] for f in found), np.zeros(0, np.uint64)]), return_inverse=True)
+    count = np.concatenate([*(f[2] for f in found), np.zeros(0, np.int32)])
+    owner = np.repeat(np.arange(len(found)), [len(f[1]) for f in found])
     total = np.bincount(owner, count, minlength=len(found))
-    marker = _markers(toxic, owner, word, len(known))
+    marker = _markers(toxic, owner, word, len(known), clear)
     grade = _grades(toxic, owner, word, count, total, marker)
     used = marker[word]
     owner, word = owner[used], (np.cumsum(marker) - 1)[word[used]]
     known = known[marker]
+    if toxic.all() and len(toxic):
+        return {"words": known, "weights": np.zeros(len(known)), "thresholds": np.full(GRADES, -30.0)}
+    if not len(known):
+        return {"words": known, "weights": np.zeros(0), "thresholds": np.full(GRADES, 30.0)}
     w, gaps = np.zeros(len(known)), np.array([1.0, 0.0, 0.0])
     state = [np.zeros(len(known)), np.zeros(GRADES)]
     weight = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
     over = (grade[:, None] > np.arange(GRADES)).astype(float)
-    for _ in range(rounds if toxic.any() and not toxic.all() else 0):
+    for _ in range(rounds):
         t = gaps[0] + np.concatenate(([0.0], np.cumsum(np.exp(gaps[1:]))))
         p = 1 / (1 + np.exp(np.clip(t - np.bincount(owner, w[word], minlength=len(found))[:, None], -30, 30)))
         off = (p - over) * weight[:, None]
@@ -90,12 +107,36 @@ def fit(docs, labels, per_label=PER_LABEL, rounds=400, pull=1e-5):
         for s, g, x in ((state[0], slope, w), (state[1], turn, gaps)):
             s += g * g
             x -= 0.3 * g / np.sqrt(s + 1e-12)
-    t = gaps[0] + np.concatenate(([0.0], np.cumsum(np.exp(gaps[1:]))))
-    if not toxic.any():
-        t = np.full(GRADES, 30.0)
-    elif toxic.all():
-        t = np.full(GRADES, -30.0)
-    return {"words": known, "weights": w, "thresholds": t}
+    return {"words": known, "weights": w, "thresholds": gaps[0] + np.concatenate(([0.0], np.cumsum(np.exp(gaps[1:]))))}
+
+
+def _errors(found, clear, rounds, pull):
+    """Share of toxic rows missed and of others flagged, where each of ``PARTS`` of the
+    rows, by a hash of their words, is judged by a model of the rest."""
+    part = [int(np.bitwise_xor.reduce(text.mix(f[1])) % np.uint64(PARTS)) for f in found]
+    wrong, seen = np.zeros(2), np.zeros(2)
+    for k in range(PARTS):
+        model = _learn([f for f, h in zip(found, part) if h != k], clear, rounds, pull)
+        for toxic, words, _ in (f for f, h in zip(found, part) if h == k):
+            flagged = model["weights"][np.isin(model["words"], words, assume_unique=True)].sum() >= model["thresholds"][0]
+            wrong[int(toxic > 0)] += flagged != (toxic > 0)
+            seen[int(toxic > 0)] += 1
+    return (wrong / np.maximum(seen, 1)).sum()
+
+
+def fit(docs, labels, per_label=PER_LABEL, rounds=400, pull=1e-5):
+    """Weights and thresholds from about ``per_label`` rows of either label (a
+    bounded sample of the labelled rows, by the hash of doc_id). The driver receives
+    the sample's word buckets. Rows without label or text words teach nothing."""
+    text.small_batches(docs.sparkSession)
+    known = labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    ids = per_class(known, "toxic", "doc_id", per_label, 2)
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("toxic", "text")
+    found = sorted({tuple(r) for r in rows.mapInArrow(_features, "toxic int, words binary, counts binary").limit(4 * per_label).collect()})
+    found = [(f[0], np.frombuffer(f[1], np.uint64), np.frombuffer(f[2], np.int32)) for f in found if f[1]]
+    # Of bars that judge alike the highest: fewer words decide.
+    clear = min(reversed(CLEAR), key=lambda c: _errors(found, c, rounds // 4, pull))
+    return _learn(found, clear, rounds, pull)
 
 
 def _score(model):

@@ -2,10 +2,12 @@
 texts, repeated rows, extra columns with clashing names, and empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -20,8 +22,10 @@ from meterspan.llm import (
     quality_rules,
     queries,
     resampling,
+    samples,
     secrets,
     sharding,
+    text,
     toxicity,
 )
 from meterspan.session import scratch_folder
@@ -229,6 +233,59 @@ def test_quality_score_parts_target_from_other_text(spark):
     assert min(got[i] for i in range(40)) > max(got[100 + i] for i in range(40))
 
 
+def test_quality_bound_is_the_rank_of_held_out_texts(spark, docs, empty, labels):
+    rows = [(i, prose(i % 20, 50)) for i in range(300)] + [(1000 + i, " ".join(f"junk{i}x{j}" for j in range(50))) for i in range(60)]
+    frame = spark.createDataFrame([*rows, (5000, None), (None, prose(3, 50)), rows[0]], "doc_id long, text string")
+    known = spark.createDataFrame([(i, 1) for i in [*range(300), 1, 2]] + [(None, 1)], "doc_id long, quality int")
+    trusted = quality_rules.trusted_rows(known)
+    fitted, held = ([r.doc_id for r in part.collect()] for part in quality_rules.parted(trusted))
+    assert sorted(fitted + held) == list(range(300)) and 30 < len(held) < 90
+    for loss in (0, 0.2):
+        got = quality_rules.judged(frame, trusted, loss).collect()
+        places = sorted(math.floor(r.score * 1e6) for r in got if r.doc_id in held and not r.base_failed)
+        bound = places[int(loss * len(places))]
+        # Copies tie: the rank may fall inside a run of equal scores, which goes or stays whole.
+        run = {bound, max([p for p in places if p < bound], default=bound), min([p for p in places if p > bound], default=bound)}
+        kept = {math.floor(r.score * 1e6) for r in got if r.kept}
+        dropped = {math.floor(r.score * 1e6) for r in got if not r.kept and not r.base_failed}
+        assert min(kept) > max(dropped) and min(p for p in places if p in kept) in run
+        assert len(got) == len(rows) + 3 and not any(r.kept for r in got if r.base_failed)
+        assert not loss or not any(r.kept for r in got if (r.doc_id or 0) >= 1000)
+    assert quality_rules.judged(empty, trusted).collect() == []
+    nobody = quality_rules.judged(docs, quality_rules.trusted_rows(labels.limit(0))).collect()
+    assert all(r.kept != r.base_failed for r in nobody)
+
+
+def test_every_good_row_is_in_the_target(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"a{i % 7} b c{i % 5}") for i in range(500)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(500)] * 2, "doc_id long, quality int")
+    assert resampling.target_rows(known).count() == quality_rules.trusted_rows(known).count() == sum(i % 3 > 0 for i in range(500))
+    sent = quality_rules.ratios(rows, quality_rules.trusted_rows(known)), resampling.ratios(rows, resampling.target_rows(known))
+    for module in (quality_rules, resampling):
+        monkeypatch.setattr(module, "sized", lambda table: table.hint("merge"))
+    joined = quality_rules.ratios(rows, quality_rules.trusted_rows(known)), resampling.ratios(rows, resampling.target_rows(known))
+    assert sent[0] == joined[0] and (sent[1] == joined[1]).all()
+
+
+def test_many_classes_are_all_sampled(spark):
+    rows = spark.range(900).selectExpr("id AS doc_id", "concat('lang', id % 300) AS lang", "id AS sample")
+    assert samples.per_class(rows, "lang", "doc_id", 50).select("lang").distinct().count() == 300
+    assert samples.per_class(rows, "lang", "doc_id", 50, 4).select("lang").distinct().count() == 4
+    assert samples.per_class(rows.selectExpr("doc_id", "string(null) AS lang"), "lang", "doc_id", 50).collect() == []
+
+
+def test_weight_is_the_log_ratio_of_likelihoods(spark, docs, labels):
+    table = resampling.ratios(docs, resampling.target_rows(labels))
+    rows = {r.doc_id: r for r in resampling.resampled(spark.createDataFrame([(1, "one two"), (2, "one two one two")], "doc_id long, text string"), table, 1.0).collect()}
+    one, two = rows[1], rows[2]
+    back = {r.doc_id: r for r in resampling.resampled(spark.createDataFrame([(3, "two one")], "doc_id long, text string"), table, 1.0).collect()}[3]
+    words = next(text.chunks([b"one two"]))[1]
+    pair = table[int(text.mix(words[:1] * np.uint64(3) + words[1:])[0] >> np.uint64(48))]
+    singles = one.log_weight - pair
+    assert (one.n_grams, two.n_grams) == (3, 7)
+    assert two.log_weight == pytest.approx(2 * singles + 2 * pair + (back.log_weight - singles))
+
+
 def test_resampling(spark, docs, empty, labels):
     table = resampling.ratios(docs, resampling.target_rows(labels))
     got = resampling.resampled(docs, table, 0.5).collect()
@@ -300,6 +357,31 @@ def test_toxicity(spark, empty, labels):
     assert toxicity.score(empty, toxicity.fit(empty, labels)).collect() == []
 
 
+@pytest.mark.parametrize("n", [80, 800])
+def test_toxic_words_are_found_in_small_and_larger_samples(spark, n):
+    rows = [(i, prose(i, 30) + (" scoundrel villain" if i % 8 == 0 else " hello")) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(n // 2)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, known)).collect()}
+    assert all(got[i].toxic == (i % 8 == 0) for i in range(n // 2, n))
+
+
+def test_words_of_a_copied_toxic_text_are_no_markers(spark):
+    copied = prose(7000, 60)
+    rows = [(i, prose(i, 30) + (" scoundrel villain"[: 10 if i % 16 else 18] if i % 8 == 0 else " hello")) for i in range(800)]
+    rows += [(1000 + i, f"{copied} n{'abcdefghij'[i % 10]}{'klmn'[i % 4]} scoundrel") for i in range(20)]
+    docs = spark.createDataFrame([*rows, (2000, copied)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i % 8 == 0 or i >= 1000)) for i, _ in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r.toxic for r in toxicity.score(docs, toxicity.fit(docs, known)).collect()}
+    assert not got[2000] and all(got[i] == (i % 8 == 0 or i >= 1000) for i, _ in rows)
+
+
+def test_without_a_toxic_word_nothing_is_toxic(spark):
+    docs = spark.createDataFrame([(i, prose(i % 10, 30)) for i in range(40)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i // 10 == 1)) for i in range(40)], "doc_id long, toxic int")
+    assert all(r.severity < 0.001 and not r.toxic for r in toxicity.score(docs, toxicity.fit(docs, known)).collect())
+
+
 def test_decontamination(spark, empty):
     items = [(i, prose(100 + i, 30)) for i in range(20)] + [(20, prose(300, 150)), (21, None), (22, "")]
     words = items[3][1].split()
