@@ -16,12 +16,14 @@ s^d; at 0.75 and two levels, 16 trees miss two pairs in a million. A pair that m
 there is compared, in a small node or in its crowd."""
 
 import hashlib
+import math
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from meterspan.llm import text
 from meterspan.llm.samples import sized
@@ -37,6 +39,12 @@ EXACT = 2
 #: Classes and shingles in a block of a crowd, about.
 CROWD_ROWS = 4096
 CROWD_SHINGLES = 1 << 20
+#: A crowd of fewer rows is dealt into this many blocks a side, of at least as many rows.
+CROWD_BLOCKS, CROWD_LEAST = 12, 128
+#: Narrow rows that are worth a task of their own.
+TASK_ROWS = 1 << 14
+#: Links of which one task finds the components.
+FOREST = 1 << 17
 SIMILARITY = 75
 #: Of 64 minwise tokens, pairs of similarity 0.75 share fewer with probability 2e-7.
 #: The sketch has the last byte of each, which other texts share by chance once in 256.
@@ -111,6 +119,13 @@ def with_class(rows, body="text"):
     return rows.select(F.col(body).alias("class_body"), *rows.columns).mapInArrow(_classed, f"{kinds}, class binary")
 
 
+def _few(df, rows, weight=1):
+    """``df``, which is made of about ``rows`` rows, in no more tasks than these are worth:
+    many tasks and files of a few rows each take longer than the rows. ``weight`` tells how
+    many narrow rows one of them stands for."""
+    return df.coalesce(max(1, math.ceil(rows * weight / TASK_ROWS)))
+
+
 def _branch(tree, level, tokens):
     """The token that a path of this tree selects at this level: every tree starts
     with tokens of its own, deeper levels walk on through the others."""
@@ -118,41 +133,33 @@ def _branch(tree, level, tokens):
     return F.get(tokens, at.cast("int"))
 
 
-def candidates(classes, trees, known=None):
+def candidates(classes, trees, known=None, many=None):
     """(pairs, crowded) of some trees. pairs has the classes (a < b in a small node) that
     meet in a small node, or as leader and member of a large one; crowded has ``class``,
     ``node`` of the nodes still large at level ``EXACT`` (None without any). ``classes``
     has ``class`` and ``tokens``; ``known`` the ``class`` and ``root`` of what is already
-    connected: pairs of one root are left out, and so are nodes of one root. Runs one job
-    per level."""
+    connected: pairs of one root are left out, and so are nodes of one root. ``many`` is the
+    number of classes, if the caller has counted them."""
+    many = classes.count() if many is None else many
     tree = F.explode(F.array(*(F.lit(t) for t in trees))).alias("tree")
     rows = classes.select("class", "tokens")
     rows = rows.withColumn("root", F.col("class")) if known is None else _rooted(rows, known)
     rows = rows.select("class", "root", "tokens", tree).select(
         "class", "root", "tree", F.xxhash64("tree", _branch(F.col("tree"), 0, F.col("tokens"))).alias("node")
     )
-    found, crowded = [], None
+    found, small, crowded, n, total = [], [], None, many * len(trees), 0
     for level in range(1, LEVELS + 1):
         nodes = rows.groupBy("node").agg(
             F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("class", "root")).alias("leader")
         )
-        nodes = written(nodes.where("low != high").select("node", "members", "leader"), "near-dedup-nodes")
-        met = written(rows.join(nodes, "node"), "near-dedup-met")
-        small = met.where(F.col("members") <= SMALL)
-        lists = small.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("class", "root"))).alias("m"))
-        pairs = F.flatten(
-            F.transform(
-                "m",
-                lambda x, i: F.transform(
-                    F.filter(F.slice("m", i + 2, F.lit(SMALL)), lambda y: x["root"] != y["root"]),
-                    lambda y: F.struct(x["class"].alias("a"), y["class"].alias("b")),
-                ),
-            )
-        )
-        found.append(lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
+        nodes = written(_few(nodes.where("low != high").select("node", "members", "leader"), n), "near-dedup-nodes")
+        met = written(_few(rows.join(nodes, "node"), n), "near-dedup-met")
+        small.append(met.where(F.col("members") <= SMALL).select(F.lit(level).alias("level"), "node", "class", "root"))
         large = met.where(F.col("members") > SMALL)
         found.append(large.where("root != leader.root").select(F.col("leader.class").alias("a"), F.col("class").alias("b")))
-        if large.isEmpty():
+        more, n = met.agg(F.count("*"), F.count_if(F.col("members") > SMALL)).first()
+        total += more
+        if not n:
             break
         if level == EXACT:
             crowded = large.select("class", "node")
@@ -160,15 +167,25 @@ def candidates(classes, trees, known=None):
             break
         if level == 1:
             # Later levels walk on with some of these classes.
-            deep = written(classes.join(large.select("class").distinct(), "class", "left_semi").select("class", "tokens"), "near-dedup-deep")
+            deep = classes.join(large.select("class").distinct(), "class", "left_semi").select("class", "tokens")
+            deep = written(_few(deep, many), "near-dedup-deep")
         rows = large.join(deep, "class").select(
             "class", "root", "tree", F.xxhash64("node", _branch(F.col("tree"), level, F.col("tokens"))).alias("node")
         )
-        rows = written(rows, "near-dedup-rows")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct(), crowded
+        rows = written(_few(rows, n), "near-dedup-rows")
+    lists = reduce(DataFrame.unionByName, small).groupBy("level", "node")
+    lists = lists.agg(F.array_sort(F.collect_set(F.struct("class", "root"))).alias("m"))
+    pairs = F.flatten(
+        F.transform(
+            "m",
+            lambda x, i: F.transform(
+                F.filter(F.slice("m", i + 2, F.lit(SMALL)), lambda y: x["root"] != y["root"]),
+                lambda y: F.struct(x["class"].alias("a"), y["class"].alias("b")),
+            ),
+        )
+    )
+    met = _few(lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b"), total)
+    return _few(reduce(DataFrame.unionByName, found, met).distinct(), total), crowded
 
 
 def _rooted(rows, known):
@@ -184,12 +201,42 @@ def _pairs_with(pairs, table, *columns):
     return pairs
 
 
-def components(edges):
+def _stars(kind):
+    """The components of the links that a task holds: every class and the smallest of its component."""
+
+    def run(batches):
+        up = {}
+
+        def top(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = top(a), top(b)
+                up[max(a, b)] = min(a, b)
+        classes = list(up)
+        yield pa.RecordBatch.from_arrays([pa.array(classes, kind), pa.array([top(x) for x in classes], kind)], ["class", "root"])
+
+    return run
+
+
+def components(edges, block=FOREST):
     """``class``, ``root`` for every class with an edge (a, b): classes that edges
-    connect have one root. Labels sink to the smallest neighbour's and then skip to
-    their label's label, so the number of rounds follows the logarithm of a
-    component's width. Runs two jobs a round."""
-    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    connect have one root. Blocks of about ``block`` edges become stars first, one task
+    each; of a single block these are the components. Beyond, labels sink to the smallest
+    neighbour's and then skip to their label's label, so the number of rounds follows the
+    logarithm of a component's width. Runs two jobs a round."""
+    kind = edges.schema["a"].dataType
+    links = written(edges.where("a is not null and b is not null").select("a", "b"), "links")
+    blocks = max(1, math.ceil(links.count() / block))
+    stars = links.coalesce(blocks).mapInArrow(_stars(to_arrow_type(kind)), f"class {kind.simpleString()}, root {kind.simpleString()}")
+    stars = written(stars, "labels")
+    if blocks == 1:
+        return stars
+    down, up = stars.select(F.col("class").alias("a"), F.col("root").alias("b")), stars.select(F.col("root").alias("a"), F.col("class").alias("b"))
+    both = written(down.union(up), "links")
     labels = both.groupBy(F.col("a").alias("class")).agg(F.least(F.col("class"), F.min("b")).alias("root"))
     labels = written(labels, "labels")
     while True:
@@ -203,11 +250,13 @@ def components(edges):
 
 
 def _full_sets(slim, classes, needed, name):
-    """``class``, ``set`` for the classes in ``needed``, from one text of each."""
-    owners = sized(written(classes.join(needed, "class", "left_semi").select("first").distinct(), f"{name}-owners"))
+    """``class``, ``set`` for the classes in ``needed``, a written table, from one text of each."""
+    n = needed.count()
+    owners = sized(written(_few(classes.join(needed, "class", "left_semi").select("first").distinct(), n), f"{name}-owners"))
     texts = slim.join(owners, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select("text")
     sets = texts.mapInArrow(_sets, "class binary, set array<long>").where("class is not null")
-    return written(sets.join(sized(needed), "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), f"{name}-sets")
+    sets = sets.join(sized(needed), "class", "left_semi").groupBy("class").agg(F.first("set").alias("set"))
+    return written(_few(sets, n, 8), f"{name}-sets")
 
 
 def _block_links(similarity):
@@ -250,22 +299,25 @@ def crowd_links(slim, classes, crowded, known, similarity):
     a node of one root says nothing new, so a group that is one component makes no crowd.
     All classes outside a crowd's commonest root are compared with all of the crowd, on
     full sets. None where nothing is apart."""
-    held = written(_rooted(crowded, known).groupBy("node", "root").agg(F.count("*").alias("n")), "near-dedup-held")
+    n = crowded.count()
+    held = written(_few(_rooted(crowded, known).groupBy("node", "root").agg(F.count("*").alias("n")), n), "near-dedup-held")
     low = held.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("high")).where("a != high").select("node", "a")
     apart = held.join(low, "node").where("root != a").select("a", F.col("root").alias("b")).distinct()
-    apart = written(apart, "near-dedup-apart-pairs")
+    apart = written(_few(apart, n), "near-dedup-apart-pairs")
     if apart.isEmpty():
         return None
     crowds = components(apart).select(F.col("class").alias("root"), F.col("root").alias("crowd"))
     members = _rooted(classes.select("class", "size"), known)
     members = written(members.join(crowds, "root"), "near-dedup-crowds")
+    n = members.count()
     tally = members.groupBy("crowd", "root").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
     tally = tally.groupBy("crowd").agg(
         F.count("*").alias("roots"), F.max(F.struct("n", "w", "root")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w")
     )
 
     def blocks(n, w):
-        return F.greatest(F.ceil(n / CROWD_ROWS), F.ceil(w / CROWD_SHINGLES)).cast("int")
+        spread = F.least(F.lit(CROWD_BLOCKS), F.ceil(n / CROWD_LEAST))
+        return F.greatest(F.ceil(n / CROWD_ROWS), F.ceil(w / CROWD_SHINGLES), spread).cast("int")
 
     tally = tally.where("roots > 1").select(
         "crowd",
@@ -273,7 +325,7 @@ def crowd_links(slim, classes, crowded, known, similarity):
         blocks(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w")).alias("lefts"),
         blocks(F.col("n"), F.col("w")).alias("rights"),
     )
-    members = written(members.join(tally, "crowd"), "near-dedup-apart")
+    members = written(_few(members.join(tally, "crowd"), n), "near-dedup-apart")
     sets = _full_sets(slim, classes, members.select("class"), "near-dedup-apart")
 
     def dealt(blocks):
@@ -292,17 +344,19 @@ def _confirmed(slim, classes, pairs, similarity):
     """The pairs that are links by their full sets."""
     small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     shared = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x))
+    pairs = written(pairs, "near-dedup-pairs")
     alike = (
-        _pairs_with(written(pairs, "near-dedup-pairs"), classes, "size", "sketch")
+        _pairs_with(pairs, classes, "size", "sketch")
         .where((100 * small >= similarity * large) & (shared >= SHARED))
         .select("a", "b", "size_a", "size_b")
     )
-    alike = written(alike, "near-dedup-alike")
-    needed = written(alike.select(F.col("a").alias("class")).union(alike.select("b")).distinct(), "near-dedup-needed")
+    alike = written(_few(alike, pairs.count(), 2), "near-dedup-alike")
+    n = alike.count()
+    needed = written(_few(alike.select(F.col("a").alias("class")).union(alike.select("b")).distinct(), 2 * n), "near-dedup-needed")
     sets = _full_sets(slim, classes, needed, "near-dedup")
     both = F.size(F.array_intersect("set_a", "set_b"))
     links = _pairs_with(alike, sets, "set").where(100 * both >= similarity * (F.col("size_a") + F.col("size_b") - both))
-    return written(links.select("a", "b"), "near-dedup-edges")
+    return written(_few(links.select("a", "b"), n, 8), "near-dedup-edges")
 
 
 def near_duplicates(docs, similarity=SIMILARITY):
@@ -321,27 +375,26 @@ def near_duplicates(docs, similarity=SIMILARITY):
         slim.mapInArrow(_sign, "doc_id long, n_shingles long, class binary, tokens array<int>, sketch array<tinyint>"), "near-dedup-signed"
     )
     worded = signed.where("class is not null")
-    classes = written(
-        worded.groupBy("class").agg(
-            F.min("doc_id").alias("first"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")
-        ),
-        "near-dedup-classes",
+    classes = worded.groupBy("class").agg(
+        F.min("doc_id").alias("first"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")
     )
+    classes = written(_few(classes, signed.count(), 4), "near-dedup-classes")
+    many = classes.count()
     edges, crowds = None, []
     for trees in TURNS:
-        known = written(components(edges), "near-dedup-known") if edges is not None else None
-        pairs, crowded = candidates(classes, trees, known)
+        known = components(edges) if edges is not None else None
+        pairs, crowded = candidates(classes, trees, known, many)
         confirmed = _confirmed(slim, classes, pairs, similarity)
         edges = confirmed if edges is None else edges.unionByName(confirmed)
         crowds += [crowded] if crowded is not None else []
-    known = written(components(edges), "near-dedup-known")
+    known = components(edges)
     if crowds:
         more = crowd_links(slim, classes, reduce(DataFrame.unionByName, crowds), known, similarity)
         if more is not None:
             known = components(edges.unionByName(more))
     roots = _rooted(classes.select("class", "first"), known)
     lowest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    roots = written(roots.join(lowest, "root").select("class", "component_id"), "near-dedup-roots")
+    roots = written(_few(roots.join(lowest, "root").select("class", "component_id"), many), "near-dedup-roots")
     plain = signed.where("class is null").withColumn("component_id", F.col("doc_id"))
     return (
         worded.join(roots, "class")
