@@ -6,6 +6,7 @@ records older than those stay as recorded. They reach the features only through
 the exponentially weighted means, so a request needs just the weighted sums of
 its household at the 31st record back, not the history itself."""
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -17,8 +18,6 @@ from meterspan.operators.billing import prediction_band
 from meterspan.operators.features import add_ewm_state, series_window
 from meterspan.session import ensure_checkpoint_dir
 
-STEPS_PER_CHECKPOINT = 10
-
 
 def contexts_before(daily, n=fixed.CONTEXT_DAYS, keys=("household_id",)):
     """Per day the n values before it, oldest first; null until there are n."""
@@ -196,7 +195,8 @@ def roll_forward(planned, model, mae, prediction="random_forest_kwh"):
     the newest value of the next step's context.
 
     Steps are taken for all requests together and are narrow. The plan is cut at
-    a checkpoint every few steps, so its depth stays bounded."""
+    a checkpoint after every step: a task then has one Python worker with one copy
+    of the model, while steps in one plan would each have their own at a time."""
     spark = planned.sparkSession
     ensure_checkpoint_dir(spark)
     runs = planned.filter("reject_reason is null").select(
@@ -212,7 +212,7 @@ def roll_forward(planned, model, mae, prediction="random_forest_kwh"):
     for i in range(longest):
         step = F.get("steps", F.lit(i))
         features = context_features(F.col("_context"), step["target_date"], lambda n, s=step: s[n])
-        vector = F.array(*[F.coalesce(features[c].cast("double"), F.lit(0.0)) for c in fixed.DAILY_FEATURES])
+        vector = array_to_vector(F.array(*[F.coalesce(features[c].cast("double"), F.lit(0.0)) for c in fixed.DAILY_FEATURES]))
         active = F.col("horizon_days") > i
         predicted = F.greatest(F.lit(0.0), F.col(prediction))
         runs = (
@@ -225,8 +225,7 @@ def roll_forward(planned, model, mae, prediction="random_forest_kwh"):
             )
             .select("request_id", "household_id", "horizon_days", "steps", "_context", "_out")
         )
-        if (i + 1) % STEPS_PER_CHECKPOINT == 0:
-            runs = runs.checkpoint()
+        runs = runs.checkpoint()
     band = prediction_band(F.col("predicted_kwh"), F.lit(float(mae)))
     return (
         runs.select(

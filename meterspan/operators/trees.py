@@ -24,6 +24,8 @@ from operator import and_
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -298,8 +300,8 @@ class TreeModel:
 
     def transform(self, df):
         """``df`` with the prediction, from the feature columns or, where they are not
-        there, from the array ``features``; null where a feature is null. A plan node of
-        its own, so that steps that follow each other do not grow into one expression."""
+        there, from the array or vector ``features``; null where a feature is null. A plan
+        node of its own, so that steps that follow each other do not grow into one expression."""
         if self._sent is None:
             self._sent = df.sparkSession.sparkContext.broadcast(self)
         shared = self._sent
@@ -313,7 +315,10 @@ class TreeModel:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], y], [*batch.schema.names[:-1], model.output])
 
         here = set(self.columns) <= set(df.columns)
-        features = F.array(*[F.col(c).cast("double") for c in self.columns]) if here else F.col("features")
+        if here:
+            features = F.array(*[F.col(c).cast("double") for c in self.columns])
+        else:
+            features = vector_to_array("features") if isinstance(df.schema["features"].dataType, VectorUDT) else F.col("features")
         schema = T.StructType([*df.schema.fields, T.StructField(self.output, T.DoubleType())])
         return df.withColumn("_x", features).mapInArrow(run, schema)
 
