@@ -1,9 +1,11 @@
 """What-if runs over appliance lists and saved scenarios, per household.
 
-An appliance list is keyed by (household_id, id). Nothing here gathers a
-household in one task: totals and first-of-type use partial aggregates, top-n
+An appliance list is keyed by (household_id, id). Nothing here gathers an
+appliance list in one task: totals and first-of-type use partial aggregates, top-n
 uses a ranked filter that Spark limits per group before the shuffle."""
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from meterspan.functions.documents import with_fields
 from meterspan.functions.scalars import co2_kg, is_finite, number_or, stripped, text_or, to_number
 
 KEYS = ("household_id",)
+#: Households next to recommendations, about, in one task.
+HOUSEHOLDS_IN_TASK = 1 << 16
 
 
 def monthly_kwh(hours):
@@ -244,9 +248,13 @@ def apply_snapshot(appliances, snapshot, keys=KEYS):
 
 
 def _with_recommendations(households, keys, *columns):
-    """Every household next to every entry of the fixed recommendation list."""
+    """Every household next to every entry of the fixed recommendation list. Households
+    are dealt out by key before that, so that a task holds the same number of them
+    however large a file is; sums by household need no other shuffle."""
     listed = literal_rows(schemas.RECOMMENDATION, fixed.RECOMMENDATIONS)
-    return households.select(*keys, *columns, F.explode(listed).alias("_r")).select(
+    rows = households.select(*keys, *columns)
+    dealt = rows.repartition(max(1, math.ceil(rows.count() / HOUSEHOLDS_IN_TASK)), *keys)
+    return dealt.select(*keys, *columns, F.explode(listed).alias("_r")).select(
         *keys, *columns, "_r.*"
     )
 
