@@ -2,7 +2,7 @@
 
 A text is split into words by the tokenizer's pattern. The commonest ``WORDS`` distinct
 words of the corpus are encoded by Spark higher-order functions, which fold ranked
-merges over the word's byte array, with the rank map as a literal. Every task gets
+merges over the word's byte array, with the rank map in a broadcast row. Every task gets
 these words; a word outside them is folded where it stands, by the same merges on
 arrays of all such words of a batch. Decoding concatenates the byte pieces of the ids.
 
@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from meterspan.llm import text
 
 WORDS = 1 << 16
-#: Buckets of the literal rank map: an array of small maps.
+#: Buckets of the rank map: an array of small maps.
 BUCKETS = 1 << 16
+#: Groups of words that Spark SQL folds, each a row with the rank map.
+GROUPS = 64
 LONG = 48
 _NONE = np.int64(1 << 40)
 
@@ -45,15 +47,16 @@ def _words(body, pattern):
 
 
 def rank_map(spark, table):
-    """The rank map as a literal column: array<map<string,int>> by hash of the piece."""
+    """The rank map as column ``ranks`` of one row: array<map<string,int>> by hash of the
+    piece. As a literal it would be spelt out in every description of a plan, and the
+    driver makes several for each run and keeps them."""
     pieces = spark.createDataFrame([(p.decode("latin-1"), r) for p, r in table.items()], "key string, value int")
     bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("b")
     full = pieces.groupBy(bucket).agg(F.collect_list(F.struct("key", "value")).alias("m"))
     every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(full, "b", "left")
     rows = every.agg(F.sort_array(F.collect_list(F.struct("b", "m"))).alias("t"))
     none = F.array().cast("array<struct<key:string,value:int>>")
-    maps = F.transform("t", lambda x: F.map_from_entries(F.coalesce(x["m"], none)))
-    return F.from_json(F.lit(rows.select(F.to_json(maps)).first()[0]), "array<map<string,int>>")
+    return rows.select(F.transform("t", lambda x: F.map_from_entries(F.coalesce(x["m"], none))).alias("ranks"))
 
 
 def _let(value, body):
@@ -97,16 +100,21 @@ def _folded(word, table):
 
 def encode_words(words, table):
     """``word`` (not empty) and ``ids`` for a column of distinct words, in Spark SQL."""
-    literal = rank_map(words.sparkSession, table)
-    latin = F.decode(F.col("word").cast("binary"), "ISO-8859-1")
-    return words.select("word", _let(literal, lambda t: F.transform(_folded(latin, t), lambda p: _rank(t, p))).alias("ids"))
+    group = F.pmod(F.xxhash64("word"), F.lit(GROUPS))
+    groups = words.groupBy(group.alias("g")).agg(F.collect_list("word").alias("words")).repartition(GROUPS)
+    rows = groups.crossJoin(F.broadcast(rank_map(words.sparkSession, table)))
+
+    def coded(word, t):
+        latin = F.decode(word.cast("binary"), "ISO-8859-1")
+        return F.struct(word.alias("word"), F.transform(_folded(latin, t), lambda p: _rank(t, p)).alias("ids"))
+
+    return rows.select(F.inline(_let(F.col("ranks"), lambda t: F.transform("words", lambda w: coded(w, t)))))
 
 
 def commonest(docs, pattern, n=WORDS):
     """The ``n`` commonest distinct words of all texts (ties by the word)."""
     words = docs.select(F.explode(_words(F.col("text"), pattern)).alias("word"))
-    counts = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(n).select("word")
-    return counts.repartition(64)
+    return words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(n).select("word")
 
 
 # --- the fold on arrays ----------------------------------------------------------
