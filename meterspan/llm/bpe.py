@@ -4,13 +4,14 @@ A text is split into words by the tokenizer's pattern. The commonest ``WORDS`` d
 words of the corpus are encoded by Spark higher-order functions, which fold ranked
 merges over the word's byte array, with the rank map in a broadcast row. Every task gets
 these words; a word outside them is folded where it stands, by the same merges on
-arrays of all such words of a batch. Decoding concatenates the byte pieces of the ids.
+arrays of such words, some thousands at a time. Decoding concatenates the byte pieces of the ids.
 
 Bytes are carried as Latin-1 characters in Spark SQL. The vocabulary file is a parameter."""
 
 import base64
 import hashlib
 import heapq
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,10 @@ BUCKETS = 1 << 16
 #: Groups of words that Spark SQL folds, each a row with the rank map.
 GROUPS = 64
 LONG = 48
+#: Words outside the commonest that a task holds as Python objects at once.
+AT_ONCE = 4096
+#: Texts that a task holds at once, with their words.
+ROWS = 250
 _NONE = np.int64(1 << 40)
 
 
@@ -125,21 +130,24 @@ class Merges:
 
     def __init__(self, table):
         self.table = table
-        keys, values = [], []
+        keys, values = array("q"), array("q")
         for piece, rank in table.items():
             for i in range(1, len(piece)):
                 a, b = table.get(piece[:i]), table.get(piece[i:])
                 if a is not None and b is not None:
                     keys.append(a << 32 | b)
                     values.append(rank)
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int64)[order]
+        keys, values = np.frombuffer(keys, np.int64), np.frombuffer(values, np.int64)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
         slot = self._slot(self.keys)
         self.first_key = np.full(1 << 20, -1, np.int64)
-        self.first_value = np.zeros(1 << 20, np.int64)
+        self.first_value = np.zeros(1 << 20, np.int32)
         self.first_key[slot[::-1]], self.first_value[slot[::-1]] = self.keys[::-1], self.values[::-1]
         # Slots that several keys share need a search when the first key differs.
-        self.shared = np.bincount(slot, minlength=1 << 20) > 1
+        self.shared = np.zeros(1 << 20, bool)
+        slot.sort()
+        self.shared[slot[1:][slot[1:] == slot[:-1]]] = True
         self.byte = np.array([table[bytes([i])] for i in range(256)], np.int64)
 
     @staticmethod
@@ -221,6 +229,19 @@ class Merges:
                 out[i] = ids
         return out
 
+    def encode_array(self, words):
+        """For an Arrow array of words: their ids in one array, and where each word's
+        begin and how many they are. Taken by length, ``AT_ONCE`` words at a time."""
+        order = np.argsort(pc.binary_length(words).to_numpy(zero_copy_only=False), kind="stable")
+        sizes, starts, flat = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [np.zeros(0, np.uint32)]
+        for at in range(0, len(order), AT_ONCE):
+            some = order[at : at + AT_ONCE]
+            ids = self.encode([w.encode() for w in words.take(pa.array(some)).to_pylist()])
+            sizes[some] = [len(x) for x in ids]
+            flat.append(np.concatenate(ids).astype(np.uint32))
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate(flat), starts, sizes
+
 
 def _gather(flat, starts, sizes, index):
     """Concatenation of ``flat[starts[i]:starts[i] + sizes[i]]`` for i in ``index``."""
@@ -236,7 +257,9 @@ def _encoder(table, known, pattern):
         import regex
 
         split, merges = regex.compile(pattern), Merges(table)
-        common = dict(zip(words, np.split(flat_ids, ends[:-1])))
+        # The last place, which -1 finds, is that of words outside the known.
+        known_sizes = np.append(np.diff(ends, prepend=0), 0)
+        known_starts = np.append(ends - known_sizes[:-1], 0)
         pieces = [b""] * (max(table.values()) + 1)
         for piece, rank in table.items():
             pieces[rank] = piece
@@ -246,26 +269,23 @@ def _encoder(table, known, pattern):
                 texts = batch.column(1).to_pylist()
                 column = pa.array([split.findall(t or "") if p is None else p for t, p in zip(texts, column.to_pylist())], pa.list_(pa.string()))
             flat = pc.dictionary_encode(column.flatten())
-            distinct = [w.encode() for w in flat.dictionary.to_pylist()]
-            ids = [common.get(w) for w in distinct]
-            rare = [i for i, x in enumerate(ids) if x is None]
-            for i, x in zip(rare, merges.encode([distinct[i] for i in rare])):
-                ids[i] = x
-            sizes = np.array([len(x) for x in ids], np.int64)
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64) if len(ids) else sizes
-            every = np.concatenate([np.asarray(x, np.uint32) for x in ids]) if ids else np.zeros(0, np.uint32)
+            found = pc.fill_null(pc.index_in(flat.dictionary, value_set=words.cast(flat.dictionary.type)), -1).to_numpy(zero_copy_only=False)
+            sizes, starts, rare = known_sizes[found], known_starts[found], np.flatnonzero(found < 0)
+            rare_ids, rare_starts, sizes[rare] = merges.encode_array(flat.dictionary.take(pa.array(rare)))
+            starts[rare] = rare_starts + len(flat_ids)
+            every = np.concatenate([flat_ids, rare_ids])
             bounds = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-            index = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            out = []
+            index = flat.indices.to_numpy(zero_copy_only=False)
+            out, digests = [], []
             for a, b in zip(bounds[:-1], bounds[1:]):
-                out.append(_gather(every, starts, sizes, index[a:b])[0].astype("<u4").tobytes())
-            decoded = [decode(x, pieces) for x in out]
+                ids = _gather(every, starts, sizes, index[a:b])[0].astype("<u4").tobytes()
+                out.append(ids)
+                digests.append((hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode(ids, pieces)).hexdigest()))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[3:],
                     pa.array([len(x) // 4 for x in out], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
+                    *(pa.array([x[k] for x in digests], pa.string()) for k in range(2)),
                     pa.array(out, pa.large_binary()),
                 ],
                 [*batch.schema.names[3:], "n_tokens", "ids_sha256", "decoded_sha256", "ids"],
@@ -285,12 +305,12 @@ def encoded(docs, path, pattern, keep=("doc_id",), words=WORDS):
 
     A null text is empty and has no tokens. Texts with characters that Java's Unicode
     tables lack are split in Python. Special tokens are ordinary text."""
-    text.small_batches(docs.sparkSession)
+    text.small_batches(docs.sparkSession, ROWS)
     table = ranks(path)
     common = encode_words(commonest(docs, pattern, words), table).toArrow().combine_chunks()
     lists = common.column("ids").combine_chunks()
     ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-    known = ([w.encode() for w in common.column("word").to_pylist()], lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), ends)
+    known = (common.column("word").combine_chunks(), lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), ends)
     rows = docs.select(
         F.lit(0).alias("pad"),
         F.when(F.col("text").rlike(r"\p{Cn}"), F.col("text")).alias("odd"),

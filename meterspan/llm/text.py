@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes outside letters: all of ASCII but A-Z and a-z.
