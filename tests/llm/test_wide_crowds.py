@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 
+import corpus_pipeline
 import pyarrow as pa
 import pytest
 
@@ -63,8 +64,9 @@ def texts_of_a_line(n):
     return [f"{line} {body}" for body in bodies]
 
 
-def test_a_common_line_costs_no_comparison_of_all_pairs(spark, monkeypatch):
-    """Before, all of the crowd met in blocks, every class once a block of the other side."""
+@pytest.fixture
+def compared(monkeypatch):
+    """The rows that were sent to be compared in crowds; nothing is compared."""
     monkeypatch.setattr(near_dedup, "WIDE", 64, raising=False)
     seen, real = [], near_dedup.written
 
@@ -80,9 +82,21 @@ def test_a_common_line_costs_no_comparison_of_all_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(near_dedup, "_block_links", count)
     monkeypatch.setattr(near_dedup, "written", spy)
+    return seen
+
+
+def test_a_common_line_costs_no_comparison_of_all_pairs(spark, compared):
+    """Before, all of the crowd met in blocks, every class once a block of the other side."""
     docs = spark.createDataFrame(list(enumerate(texts_of_a_line(400))), "doc_id long, text string")
     assert near_dedup.near_duplicates(docs).count() == 400
-    assert len(seen) == 1 and seen[0] <= 400
+    assert len(compared) == 1 and compared[0] <= 400
+
+
+def test_the_pipeline_stage_compares_no_more(spark, compared):
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts_of_a_line(400))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.near_dedup_stage(spark, docs, None).count() == 400
+    assert len(compared) == 1 and compared[0] <= 400
 
 
 @pytest.mark.parametrize("wide", [4, 1024])
